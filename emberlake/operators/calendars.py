@@ -24,11 +24,23 @@ def fill(df: DataFrame, keys: Sequence[str], slot: str, spine: Column, values: S
 def rolling_sums(
     daily: DataFrame, keys: Sequence[str], date: str, value: str, lengths: Sequence[int]
 ) -> DataFrame:
-    """Sums of ``value`` over the last n days, the current one and its peers included, as ``sum_w{n}``.
+    """Sums of ``value`` over the last n days and the current one, as ``sum_w{n}``; null without any value.
 
-    All frames share one partitioning and one sort.
+    Needs one row per key and calendar day without gaps, and whole numbers. Each sum is then the
+    difference of two running totals, which costs the same for any n; a range frame would add up its whole
+    span again for every row. All totals share one partitioning and one sort.
     """
-    ordered = Window.partitionBy(*keys).orderBy(F.unix_date(date))
-    return daily.withColumns(
-        {f"sum_w{n}": F.sum(value).over(ordered.rangeBetween(-n, Window.currentRow)) for n in lengths}
+    ordered = Window.partitionBy(*keys).orderBy(date)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = daily.withColumns(
+        {
+            "_total": F.sum(F.coalesce(value, F.lit(0))).over(so_far),
+            "_known": F.count(value).over(so_far),
+        }
     )
+
+    def over_last(n: int) -> Column:
+        known = F.col("_known") - F.lag("_known", n + 1, 0).over(ordered)
+        return F.when(known > 0, F.col("_total") - F.lag("_total", n + 1, 0).over(ordered))
+
+    return totals.withColumns({f"sum_w{n}": over_last(n) for n in lengths}).drop("_total", "_known")

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from emberlake.functions import geo
 from emberlake.operators.skew import BROADCAST_BYTES, HOT_ROWS, salted_join
 from emberlake.operators.tiles import TilePlan, area_tiles, cell_of, plan_tiles, tile_covers
-from emberlake.session import settle
+from emberlake.session import settle, spread
 
 REACH = 50_000.0  # fixed value: projected metres
 NEIGHBOURS = 3  # fixed value: stations kept per area, ties aside
 
 
 def area_edges(shapes: DataFrame, wkt: str = "geometry", key: str = "id") -> DataFrame:
-    """Areas in the form the joins take: ``shape_id`` and ``edges``, from WKT text."""
-    return shapes.select(F.col(key).alias("shape_id"), geo.wkt_edges(F.col(wkt)).alias("edges"))
+    """Areas in the form the joins take: ``shape_id`` and ``edges``, from WKT text.
+
+    Texts differ in length by orders of magnitude, so they are spread before they are taken apart.
+    """
+    texts = spread(shapes.select(F.col(key).alias("shape_id"), F.col(wkt).alias("_wkt")), "shape_id")
+    return texts.select("shape_id", geo.wkt_edges(F.col("_wkt")).alias("edges"))
 
 
 def _with_tiles(

@@ -16,6 +16,7 @@ from emberlake.functions import calendar
 from emberlake.functions.stats import correlation
 from emberlake.operators import calendars
 from emberlake.operators.skew import dimension_join
+from emberlake.session import spread
 
 WINDOWS = (15, 30, 60, 90, 120, 150)  # fixed values: days
 LOOK_BACK = "11-01"  # fixed value: the rolling calendar starts on this day of the year before
@@ -72,7 +73,7 @@ def rolling_rain(
     by_year = daily.select(
         key, F.explode(used_in).alias("year"), F.struct("date", "value").alias("day"), own.alias("own")
     )
-    recorded = by_year.groupBy(key, "year").agg(
+    recorded = spread(by_year, key, "year").groupBy(key, "year").agg(
         F.collect_list("day").alias("days"), F.max(F.col("own") == F.col("year")).alias("has_readings")
     )
     first = F.to_date(F.concat((F.col("year") - 1).cast("string"), F.lit("-" + LOOK_BACK)))
@@ -81,7 +82,12 @@ def rolling_rain(
         calendar.days(first, last),
         lambda d: F.struct(d.alias("date"), F.lit(None).cast("bigint").alias("value")),
     )
-    calendar_days = recorded.where("has_readings").select(key, "year", F.inline(F.concat("days", empty)))
+    calendar_days = (
+        recorded.where("has_readings")
+        .select(key, "year", F.inline(F.concat("days", empty)))
+        .groupBy(key, "year", "date")
+        .agg(F.sum("value").alias("value"))
+    )
     rolled = calendars.rolling_sums(calendar_days, [key, "year"], "date", "value", windows)
     sums = [f"sum_w{n}" for n in windows]
     return (

@@ -27,24 +27,24 @@ def _ring_list(rings: list) -> str:
 
 
 _CASES = " ".join(f"WHEN {n} THEN {_ring_list(rings)}" for n, rings in b.RINGS.items())
+_BOX = _ring_list([b.BOX])
 
 # corners lie on half hundredths: a box test on the corner box loses no candidate
 GEOMETRY = f"""
 boxes AS ({b.oracle_text(b.AREA_BOXES)}),
-city_box AS (SELECT 'c' || k AS adm, x0 / 1000 AS bx0, y0 / 1000 AS by0, (x0 + w) / 1000 AS bx1,
-                    (y0 + w) / 1000 AS by1 FROM boxes),
-city_ring AS (SELECT 'c' || k AS adm, x0, y0, UNNEST(CASE k % 4 {_CASES} END) AS ring FROM boxes),
-state_box AS (SELECT 'n' || n_nationkey AS adm, (n_nationkey % 5) * 10000 - 25005 AS x0,
-                     CAST(FLOOR(n_nationkey / 5) AS BIGINT) * 10000 - 25005 AS y0, 11000 AS w FROM nation),
-state_ring AS (SELECT adm, x0, y0, {_ring_list([b.BOX])}[1] AS ring FROM state_box),
+city_box AS (SELECT 'c' || k AS adm, x0 / 1000 AS bx0, y0 / 1000 AS by0, (x0 + 12 * u) / 1000 AS bx1,
+                    (y0 + 12 * u) / 1000 AS by1 FROM boxes),
+city_ring AS (SELECT 'c' || k AS adm, x0, y0, u, UNNEST(CASE k % 4 {_CASES} END) AS ring FROM boxes),
+state_box AS (SELECT 'n' || k AS adm, x0, y0, u FROM ({b.oracle_text(b.STATE_BOXES)}) s),
+state_ring AS (SELECT adm, x0, y0, u, {_BOX}[1] AS ring FROM state_box),
 step AS (SELECT UNNEST(range(1, 8)) AS i),
 city_edge AS (
-  SELECT adm, CAST(x0 + ring[i][1] AS DOUBLE) / 1000 AS x1, CAST(y0 + ring[i][2] AS DOUBLE) / 1000 AS y1,
-         CAST(x0 + ring[i + 1][1] AS DOUBLE) / 1000 AS x2, CAST(y0 + ring[i + 1][2] AS DOUBLE) / 1000 AS y2
+  SELECT adm, CAST(x0 + u * ring[i][1] AS DOUBLE) / 1000 AS x1, CAST(y0 + u * ring[i][2] AS DOUBLE) / 1000 AS y1,
+         CAST(x0 + u * ring[i + 1][1] AS DOUBLE) / 1000 AS x2, CAST(y0 + u * ring[i + 1][2] AS DOUBLE) / 1000 AS y2
   FROM city_ring JOIN step ON i < len(ring)),
 state_edge AS (
-  SELECT adm, CAST(x0 + ring[i][1] AS DOUBLE) / 1000 AS x1, CAST(y0 + ring[i][2] AS DOUBLE) / 1000 AS y1,
-         CAST(x0 + ring[i + 1][1] AS DOUBLE) / 1000 AS x2, CAST(y0 + ring[i + 1][2] AS DOUBLE) / 1000 AS y2
+  SELECT adm, CAST(x0 + u * ring[i][1] AS DOUBLE) / 1000 AS x1, CAST(y0 + u * ring[i][2] AS DOUBLE) / 1000 AS y1,
+         CAST(x0 + u * ring[i + 1][1] AS DOUBLE) / 1000 AS x2, CAST(y0 + u * ring[i + 1][2] AS DOUBLE) / 1000 AS y2
   FROM state_ring JOIN step ON i < len(ring)),
 spot AS (SELECT event_id, CAST(longitude AS DOUBLE) AS x, CAST(latitude AS DOUBLE) AS y FROM {SOURCE_FIRES} s),
 inside AS (
@@ -158,8 +158,8 @@ pair AS (
          GREATEST(0, LEAST(1, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1))
                               / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) AS t
   FROM corner JOIN named ON named.adm = corner.id JOIN metre ON metre.adm = named.adm4),
-box AS (SELECT adm AS adm4, {_mx('x0 / 1000')} AS bx0, {_my('y0 / 1000')} AS by0, {_mx('(x0 + w) / 1000')} AS bx1,
-               {_my('(y0 + w) / 1000')} AS by1 FROM state_box)
+box AS (SELECT adm AS adm4, {_mx('x0 / 1000')} AS bx0, {_my('y0 / 1000')} AS by0, {_mx('(x0 + 12 * u) / 1000')} AS bx1,
+               {_my('(y0 + 12 * u) / 1000')} AS by1 FROM state_box)
 SELECT id, adm4,
        ROUND(CASE WHEN MAX(x) BETWEEN MAX(bx0) AND MAX(bx1) AND MAX(y) BETWEEN MAX(by0) AND MAX(by1) THEN 0.0
                   ELSE MIN(SQRT(POW(x - x1 - t * (x2 - x1), 2) + POW(y - y1 - t * (y2 - y1), 2))) END, 3) AS distance
@@ -167,17 +167,16 @@ FROM pair JOIN box USING (adm4) GROUP BY id, adm4"""
 
 SQL["area_vertices"] = f"""
 WITH {GEOMETRY},
-region_ring AS (SELECT 'r' || r_regionkey AS adm, r_regionkey * 20000 - 60005 AS x0, -40005 AS y0,
-                       [[0, 0], [80000, 0], [80000, 80000], [0, 80000], [0, 0]] AS ring FROM region),
+region_ring AS (SELECT 'r' || k AS adm, x0, y0, u, {_BOX}[1] AS ring FROM ({b.oracle_text(b.COUNTRY_BOXES)}) c),
 ring AS (
-  SELECT 8 AS level, adm, x0, y0, ring FROM city_ring
-  UNION ALL SELECT 4, adm, x0, y0, ring FROM (SELECT adm, x0, y0, [[0, 0], [w, 0], [w, w], [0, w], [0, 0]] AS ring FROM state_box)
-  UNION ALL SELECT 2, adm, x0, y0, ring FROM region_ring),
-corner AS (SELECT level, adm, x0, y0, len(ring) AS n, UNNEST(ring) AS c FROM ring),
+  SELECT 8 AS level, adm, x0, y0, u, ring FROM city_ring
+  UNION ALL SELECT 4, adm, x0, y0, u, ring FROM state_ring
+  UNION ALL SELECT 2, adm, x0, y0, u, ring FROM region_ring),
+corner AS (SELECT level, adm, x0, y0, u, UNNEST(ring) AS c FROM ring),
 per_ring AS (SELECT level, adm, COUNT(*) AS rings, SUM(len(ring)) AS corners FROM ring GROUP BY level, adm)
 SELECT level AS adm, adm AS id, CAST(ANY_VALUE(rings) AS INT) AS rings, CAST(ANY_VALUE(corners) AS INT) AS corners,
-       MIN(CAST(x0 + c[1] AS DOUBLE) / 1000) AS min_x, MAX(CAST(x0 + c[1] AS DOUBLE) / 1000) AS max_x,
-       MIN(CAST(y0 + c[2] AS DOUBLE) / 1000) AS min_y, MAX(CAST(y0 + c[2] AS DOUBLE) / 1000) AS max_y
+       MIN(CAST(x0 + u * c[1] AS DOUBLE) / 1000) AS min_x, MAX(CAST(x0 + u * c[1] AS DOUBLE) / 1000) AS max_x,
+       MIN(CAST(y0 + u * c[2] AS DOUBLE) / 1000) AS min_y, MAX(CAST(y0 + u * c[2] AS DOUBLE) / 1000) AS max_y
 FROM corner JOIN per_ring USING (level, adm) GROUP BY level, adm"""
 
 SQL["point_text"] = f"""
@@ -384,6 +383,9 @@ WITH listed AS (
          ROW_NUMBER() OVER (PARTITION BY SUBSTR(last_modified, 1, 10) ORDER BY o_orderkey) AS n
   FROM {_view(b.MANIFEST)} m)
 SELECT date, 'FIRE_' || o_orderkey || '.v1' AS filename, "downloadsLink" AS link, mtime, last_modified FROM listed WHERE n = 1"""
+SQL["zip_members"] = f"""
+SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS member, event_id, longitude, latitude
+FROM {SOURCE_FIRES} s"""
 SQL["landed_fires"] = f"""
 SELECT longitude, latitude, brightness AS bright_ti4, bright_t31 AS bright_ti5, confidence, acq_date, acq_time
 FROM {SOURCE_FIRES} s"""

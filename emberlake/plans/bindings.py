@@ -16,33 +16,31 @@ def _text(number: str) -> str:
     return f"CAST({number} AS STRING)"
 
 
-def _degrees(thousandths: str) -> str:
-    return f"CAST({thousandths} AS DOUBLE) / 1000"
-
-
 def _hundredths(key: str, factor: int, modulus: int, half: int) -> str:
     return f"CAST(({key} * {factor}) % {modulus} - {half} AS DOUBLE) / 100"
 
 
-def ring_text(corners: list[tuple[str, str]]) -> str:
-    """SQL for the text of a closed ring with corners given as offsets from (x0, y0)."""
-    points = [
-        f"{_text(_degrees(f'(x0 + {x})'))} || ' ' || {_text(_degrees(f'(y0 + {y})'))}"
-        for x, y in [*corners, corners[0]]
-    ]
+def _offset_text(axis: str, units: int) -> str:
+    return _text(f"CAST({axis}0 + {units} * u AS DOUBLE) / 1000") + f" AS {axis}t{units}"
+
+
+# the text of every coordinate a corner may have, once
+OFFSETS = ", ".join(_offset_text(axis, units) for axis in "xy" for units in (0, 3, 4, 6, 8, 9, 12))
+
+
+def ring_text(corners: list[tuple[int, int]]) -> str:
+    """SQL for the text of a closed ring with corners given in units from (x0, y0)."""
+    points = [f"tx.xt{x} || ' ' || tx.yt{y}" for x, y in [*corners, corners[0]]]
     return "'(' || " + " || ',' || ".join(points) + " || ')'"
 
 
-BOX = [("0", "0"), ("w", "0"), ("w", "w"), ("0", "w")]
+BOX = [(0, 0), (12, 0), (12, 12), (0, 12)]
 # rings of an area by its number modulo four: bent, with a hole, slanted, in two parts
 RINGS = {
-    0: [[("0", "0"), ("w", "0"), ("w", "6 * u"), ("6 * u", "6 * u"), ("6 * u", "w"), ("0", "w")]],
-    1: [BOX, [("3 * u", "3 * u"), ("9 * u", "3 * u"), ("9 * u", "9 * u"), ("3 * u", "9 * u")]],
-    2: [[("0", "0"), ("w", "0"), ("6 * u", "w")]],
-    3: [
-        [("0", "0"), ("4 * u", "0"), ("4 * u", "4 * u"), ("0", "4 * u")],
-        [("8 * u", "8 * u"), ("w", "8 * u"), ("w", "w"), ("8 * u", "w")],
-    ],
+    0: [[(0, 0), (12, 0), (12, 6), (6, 6), (6, 12), (0, 12)]],
+    1: [BOX, [(3, 3), (9, 3), (9, 9), (3, 9)]],
+    2: [[(0, 0), (12, 0), (6, 12)]],
+    3: [[(0, 0), (4, 0), (4, 4), (0, 4)], [(8, 8), (12, 8), (12, 12), (8, 12)]],
 }
 
 
@@ -54,25 +52,26 @@ def _multipolygon(rings: list) -> str:
     return "'MULTIPOLYGON((' || " + " || '),(' || ".join(map(ring_text, rings)) + " || '))'"
 
 
-# corner (x0, y0), side w and twelfth of the side u, all in thousandths of a degree; sides shrink with the
-# customer's number, so the covered ground grows only with the logarithm of the table
+# corner (x0, y0) and a twelfth of the side, in thousandths of a degree; sides shrink with the customer's
+# number, so the covered ground grows only with the logarithm of the table
 AREA_BOXES = """
 SELECT c_custkey AS k, c_name, c_nationkey,
        ((c_custkey * 7919) % 5000 - 2500) * 10 + 5 AS x0,
        ((c_custkey * 104729) % 5000 - 2500) * 10 + 5 AS y0,
-       CAST(GREATEST(FLOOR(100 / (1 + FLOOR(SQRT(c_custkey)))), 1) AS BIGINT) * 120 AS w,
        CAST(GREATEST(FLOOR(100 / (1 + FLOOR(SQRT(c_custkey)))), 1) AS BIGINT) * 10 AS u
 FROM {customer}"""
+STATE_BOXES = """
+SELECT n_nationkey AS k, n_name, n_regionkey, (n_nationkey % 5) * 10000 - 25005 AS x0,
+       CAST(FLOOR(n_nationkey / 5) AS INT) * 10000 - 25005 AS y0, 920 AS u FROM {nation}"""
+COUNTRY_BOXES = "SELECT r_regionkey AS k, r_name, r_regionkey * 20000 - 60005 AS x0, -40005 AS y0, 6700 AS u FROM {region}"
 
 SOURCE_AREAS = f"""
-SELECT 'r' || CAST(r_regionkey AS STRING) AS osm_id, 2 AS admin_level, r_name AS name,
+SELECT 'r' || CAST(k AS STRING) AS osm_id, 2 AS admin_level, r_name AS name,
        CAST(NULL AS STRING) AS parents, 'SRID=4326;' || {_polygon([BOX])} AS geom
-FROM (SELECT r_regionkey, r_name, r_regionkey * 20000 - 60005 AS x0, -40005 AS y0, 80000 AS w FROM {{region}}) a
+FROM (SELECT *, {OFFSETS} FROM ({COUNTRY_BOXES}) c) tx
 UNION ALL
-SELECT 'n' || CAST(n_nationkey AS STRING), 4, n_name, 'r' || CAST(n_regionkey AS STRING),
-       'SRID=4326;' || {_polygon([BOX])}
-FROM (SELECT n_nationkey, n_name, n_regionkey, (n_nationkey % 5) * 10000 - 25005 AS x0,
-             CAST(FLOOR(n_nationkey / 5) AS INT) * 10000 - 25005 AS y0, 11000 AS w FROM {{nation}}) b
+SELECT 'n' || CAST(k AS STRING), 4, n_name, 'r' || CAST(n_regionkey AS STRING), 'SRID=4326;' || {_polygon([BOX])}
+FROM (SELECT *, {OFFSETS} FROM ({STATE_BOXES}) s) tx
 UNION ALL
 SELECT 'c' || CAST(k AS STRING), 8, c_name,
        'n' || CAST(c_nationkey AS STRING) || ',r' || CAST(n_regionkey AS STRING),
@@ -80,7 +79,7 @@ SELECT 'c' || CAST(k AS STRING), 8, c_name,
                   WHEN 1 THEN 'SRID=4326;' || {_polygon(RINGS[1])}
                   WHEN 2 THEN {_polygon(RINGS[2])}
                   ELSE 'SRID=4326;' || {_multipolygon(RINGS[3])} END
-FROM ({AREA_BOXES}) c JOIN {{nation}} ON c_nationkey = n_nationkey"""
+FROM (SELECT *, {OFFSETS} FROM ({AREA_BOXES}) a) tx JOIN {{nation}} ON c_nationkey = n_nationkey"""
 
 # detections as text, with both time spellings, an unpadded one and unreadable numbers
 SOURCE_FIRES = f"""

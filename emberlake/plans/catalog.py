@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.functions import calendar, clean, geo
 from emberlake.operators import hierarchy, spatial
-from emberlake.plans import analytics, bindings, daily, jobs, quality
+from emberlake.plans import analytics, bindings, jobs, quality
 from emberlake.session import shared_folder, tune
 from emberlake.sources import archive, readers, sinks
+from emberlake.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,12 +52,12 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bindings.view(spark, sf_dir, bindings.STATIONS)
 
 
-def shapes_at(spark: SparkSession, sf_dir: str, level: int = 8) -> DataFrame:
-    return readers.at_level(jobs.shapes_table(areas(spark, sf_dir)), level)
+def shapes_at(source: DataFrame, level: int = 8) -> DataFrame:
+    return readers.at_level(jobs.shapes_table(source), level)
 
 
-def relations_at(spark: SparkSession, sf_dir: str, level: int = 8) -> DataFrame:
-    return readers.at_level(hierarchy.relations(areas(spark, sf_dir), LEVELS), level)
+def relations_at(source: DataFrame, level: int = 8) -> DataFrame:
+    return readers.at_level(hierarchy.relations(source, LEVELS), level)
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +82,11 @@ def plain_time(df: DataFrame) -> DataFrame:
 @query
 def points_in_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fires with every city that contains them, and the city's ancestors."""
+    source = areas(spark, sf_dir)
     located = spatial.contains_join(
-        detections(spark, sf_dir), spatial.area_edges(shapes_at(spark, sf_dir))
+        detections(spark, sf_dir), spatial.area_edges(shapes_at(source))
     )
-    return jobs.with_ancestors(located, relations_at(spark, sf_dir)).select(
+    return jobs.with_ancestors(located, relations_at(source)).select(
         "event_id", "x", "y", "adm", "adm_name", "adm2", "adm2_name", "adm4", "adm4_name"
     )
 
@@ -90,23 +95,24 @@ def points_in_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 def points_in_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join one level up: few large areas, each over many grid cells."""
     return spatial.contains_join(
-        detections(spark, sf_dir), spatial.area_edges(shapes_at(spark, sf_dir, 4))
+        detections(spark, sf_dir), spatial.area_edges(shapes_at(areas(spark, sf_dir), 4))
     ).select("event_id", F.col("shape_id").alias("adm"))
 
 
 @query
 def fires_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fire fact as the job writes it."""
+    source = areas(spark, sf_dir)
     cleaned = jobs.clean_fires(bindings.view(spark, sf_dir, bindings.SOURCE_FIRES))
     return plain_time(
-        jobs.fires_table(cleaned, shapes_at(spark, sf_dir), relations_at(spark, sf_dir))
+        jobs.fires_table(cleaned, shapes_at(source), relations_at(source))
     ).withColumns({c: F.round(F.col(c).cast("double"), 2) for c in ("bright_ti4", "bright_ti5", "frp", "scan", "track")})
 
 
 @query
 def areas_within_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = spatial.distance_join(
-        station_points(spark, sf_dir), spatial.area_edges(shapes_at(spark, sf_dir))
+        station_points(spark, sf_dir), spatial.area_edges(shapes_at(areas(spark, sf_dir)))
     )
     return pairs.select("id", F.col("shape_id").alias("adm"), F.round("distance", 3).alias("distance"))
 
@@ -114,7 +120,7 @@ def areas_within_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def nearest_k_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = spatial.nearest_points(
-        station_points(spark, sf_dir), spatial.area_edges(shapes_at(spark, sf_dir))
+        station_points(spark, sf_dir), spatial.area_edges(shapes_at(areas(spark, sf_dir)))
     )
     return linked.select(
         "id", F.col("shape_id").alias("adm"), F.round("distance", 3).alias("distance"), "station_rank"
@@ -124,8 +130,9 @@ def nearest_k_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The station table as the job writes it."""
+    source = areas(spark, sf_dir)
     table = jobs.stations_table(
-        station_points(spark, sf_dir), shapes_at(spark, sf_dir), relations_at(spark, sf_dir)
+        station_points(spark, sf_dir), shapes_at(source), relations_at(source)
     )
     return table.withColumns(
         {
@@ -138,8 +145,9 @@ def stations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def weather_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weather fact as the job writes it."""
+    source = areas(spark, sf_dir)
     links = jobs.stations_table(
-        station_points(spark, sf_dir), shapes_at(spark, sf_dir), relations_at(spark, sf_dir)
+        station_points(spark, sf_dir), shapes_at(source), relations_at(source)
     )
     readings = jobs.clean_weather(bindings.view(spark, sf_dir, bindings.SOURCE_WEATHER))
     table = plain_time(jobs.weather_table(readings, links))
@@ -149,9 +157,10 @@ def weather_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def distance_to_home_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Planar distance of each city's first corner to its own state's outline, in projected metres."""
-    cities = jobs.shapes_table(areas(spark, sf_dir))
+    source = areas(spark, sf_dir)
+    cities = jobs.shapes_table(source)
     corners = readers.at_level(cities, 8).select("id", geo.wkt_rings(F.col("geometry"))[0][0].alias("corner"))
-    homes = relations_at(spark, sf_dir).select("id", F.col("adm4"))
+    homes = relations_at(source).select("id", F.col("adm4"))
     states = readers.at_level(cities, 4).select(
         F.col("id").alias("adm4"), geo.mercator_edges(geo.wkt_edges(F.col("geometry"))).alias("edges")
     )
@@ -343,14 +352,16 @@ def region_month_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def area_month_counts_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = areas(spark, sf_dir)
     return analytics.area_month_fires(
-        fires(spark, sf_dir), shapes_at(spark, sf_dir), relations_at(spark, sf_dir), YEARS
+        fires(spark, sf_dir), shapes_at(source), relations_at(source), YEARS
     )
 
 
 @query
 def shapes_of_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.shapes_of_parents(shapes_at(spark, sf_dir), relations_at(spark, sf_dir))
+    source = areas(spark, sf_dir)
+    return analytics.shapes_of_parents(shapes_at(source), relations_at(source))
 
 
 @query
@@ -376,7 +387,8 @@ def stations_with_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shape_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.shapes_by_name(shapes_at(spark, sf_dir), relations_at(spark, sf_dir))
+    source = areas(spark, sf_dir)
+    return analytics.shapes_by_name(shapes_at(source), relations_at(source))
 
 
 # --- quality ---------------------------------------------------------------------------------------------
@@ -438,6 +450,31 @@ def manifest_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections packed into zip archives, two members each and one to pass over, and unpacked again."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, batch in enumerate(batches):
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as opened:
+                for name, rows in (("even", batch[batch.event_id % 2 == 0]), ("odd", batch[batch.event_id % 2 == 1])):
+                    opened.writestr(f"fires/{name}.csv", rows.to_csv(index=False, header=False, lineterminator="\n"))
+                opened.writestr("fires/readme.txt", "not data\n")
+            yield pd.DataFrame({"path": [f"batch-{number}.zip"], "content": [held.getvalue()]})
+
+    rows = bindings.view(spark, sf_dir, bindings.SOURCE_FIRES).select("event_id", "longitude", "latitude")
+    files = rows.mapInPandas(pack, "path string, content binary")
+    lines = archive.zip_lines(files, lambda member: member.endswith(".csv"))
+    fields = F.split("line", ",")
+    return lines.select(
+        clean.file_stem(clean.base_name(F.col("member"))).alias("member"),
+        fields[0].cast("bigint").alias("event_id"),
+        fields[1].alias("longitude"),
+        fields[2].alias("latitude"),
+    )
+
+
 @query
 def landed_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip CSV of two instruments with different headers, written, read back and unified."""

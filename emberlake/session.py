@@ -37,6 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash rows over the session's full number of shuffle partitions.
+
+    For small rows that a later step unfolds into many: adaptive execution would size the partitions by
+    what goes in, and merge away the parallelism the unfolding needs. A number given here is kept.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _configured_folder(spark: SparkSession) -> str | None:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     return folder or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from itertools import islice
+from typing import IO
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +17,15 @@ from emberlake.functions.clean import file_stem
 LINES_PER_BATCH = 20_000
 
 
-def read_zip_lines(
-    spark: SparkSession, path: str, keep: Callable[[str], bool] = lambda member: not member.endswith("/")
-) -> DataFrame:
-    """Lines of the archive members whose name passes ``keep``: ``archive, member, line_no, line``.
+def is_file(member: str) -> bool:
+    return not member.endswith("/")
 
-    One archive is one task, as the format cannot be split; members are read as streams, a batch of lines
-    at a time.
+
+def zip_lines(files: DataFrame, keep: Callable[[str], bool] = is_file) -> DataFrame:
+    """Lines of the members whose name passes ``keep``, from archives as ``path, content`` rows.
+
+    Gives ``archive, member, line_no, line``. One archive is one task, as the format cannot be split; its
+    members are read as streams, a batch of lines at a time.
     """
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -30,19 +34,24 @@ def read_zip_lines(
                 with zipfile.ZipFile(io.BytesIO(content)) as opened:
                     for member in filter(keep, opened.namelist()):
                         with opened.open(member) as raw:
-                            lines: list[str] = []
-                            start = 0
-                            for line in io.TextIOWrapper(raw, encoding="utf-8", newline=None):
-                                lines.append(line.rstrip("\n"))
-                                if len(lines) == LINES_PER_BATCH:
-                                    yield _frame(archive, member, start, lines)
-                                    start += len(lines)
-                                    lines = []
-                            if lines:
-                                yield _frame(archive, member, start, lines)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(members, "archive string, member string, line_no long, line string")
+                            yield from _batches(archive, member, raw)
+
+    return files.select("path", "content").mapInPandas(
+        members, "archive string, member string, line_no long, line string"
+    )
+
+
+def read_zip_lines(spark: SparkSession, path: str, keep: Callable[[str], bool] = is_file) -> DataFrame:
+    """``zip_lines`` of landed archives."""
+    return zip_lines(spark.read.format("binaryFile").load(path), keep)
+
+
+def _batches(archive: str, member: str, raw: IO[bytes]) -> Iterator[pd.DataFrame]:
+    text = io.TextIOWrapper(raw, encoding="utf-8")
+    start = 0
+    while lines := [line.rstrip("\n") for line in islice(text, LINES_PER_BATCH)]:
+        yield _frame(archive, member, start, lines)
+        start += len(lines)
 
 
 def _frame(archive: str, member: str, start: int, lines: list[str]) -> pd.DataFrame:

@@ -1,6 +1,9 @@
+"""Spatial joins against exact arithmetic and against every point with every area."""
+
+import math
 import random
-from fractions import Fraction
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,25 +13,27 @@ from emberlake.functions import geo
 from emberlake.operators import spatial
 from emberlake.operators.tiles import area_tiles, plan_tiles
 
+HOLED = [[(0, 0), (9, 0), (9, 9), (0, 9)], [(2, 2), (6, 3), (5, 7), (2, 5)]]
+CONCAVE = [[(0, 0), (4, 0), (4, 4), (2, 2), (0, 4)]]
+TWO_PARTS = [[(6, 6), (9, 6), (9, 9), (6, 9)], [(1, 1), (3, 1), (2, 4)], [(7, 7), (8, 7), (8, 8), (7, 8)]]
+
 
-def exact_covers(rings, x, y):
-    """Even-odd test in rational arithmetic, boundary inside."""
-    x, y, inside = Fraction(x), Fraction(y), False
+def covered_points(rings, points):
+    """Even-odd test of all points, boundary inside; exact for coordinates in quarters."""
+    x, y = np.array([p[0] for p in points]), np.array([p[1] for p in points])
+    inside, edge = np.zeros(len(points), bool), np.zeros(len(points), bool)
     for ring in rings:
-        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
-            ax, ay, bx, by = map(Fraction, (ax, ay, bx, by))
+        for a, b in zip(ring, ring[1:] + ring[:1]):
+            (ax, ay), (bx, by) = sorted((a, b), key=lambda c: c[1])
             cross = (bx - ax) * (y - ay) - (x - ax) * (by - ay)
-            if cross == 0 and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
-                return True
-            if (ay > y) != (by > y) and ax + (y - ay) * (bx - ax) / (by - ay) < x:
-                inside = not inside
-    return inside
+            within = (min(ax, bx) <= x) & (x <= max(ax, bx)) & (ay <= y) & (y <= by)
+            edge |= (cross == 0) & within
+            inside ^= (ay <= y) & (y < by) & (cross < 0)
+    return np.flatnonzero(inside | edge)
 
 
 def wkt(rings):
-    texts = []
-    for ring in rings:
-        texts.append("(" + ",".join(f"{x} {y}" for x, y in [*ring, ring[0]]) + ")")
+    texts = ["(" + ",".join(f"{x} {y}" for x, y in [*ring, ring[0]]) + ")" for ring in rings]
     return "POLYGON(" + ",".join(texts) + ")"
 
 
@@ -40,36 +45,171 @@ def frames(spark, polygons, points):
     return spots, spatial.area_edges(shapes)
 
 
-HOLED = [[(0, 0), (9, 0), (9, 9), (0, 9)], [(2, 2), (6, 3), (5, 7), (2, 5)]]
-CONCAVE = [[(0, 0), (4, 0), (4, 4), (2, 2), (0, 4)]]
-TWO_PARTS = [[(6, 6), (9, 6), (9, 9), (6, 9)], [(1, 1), (3, 1), (2, 4)], [(7, 7), (8, 7), (8, 8), (7, 8)]]
+def wanted(polygons, points):
+    return {(int(i), k) for k, p in enumerate(polygons) for i in covered_points(p, points)}
 
 
-@pytest.mark.parametrize("cell", [0.25, 1.0, 2.0, 16.0])
-def test_contains_join_on_grid_lines_and_vertices(spark, cell):
+def found(joined):
+    return {(r.pid, int(r.shape_id)) for r in joined.select("pid", "shape_id").collect()}
+
+
+@pytest.mark.parametrize("cell", [0.25, 2.0, 16.0])
+def test_contains_on_grid_lines_and_vertices(spark, cell):
     polygons = [HOLED, CONCAVE, TWO_PARTS]
     points = [(i / 4, j / 4) for i in range(-2, 40) for j in range(-2, 40)]
     spots, areas = frames(spark, polygons, points)
-    got = {(r.pid, int(r.shape_id)) for r in spatial.contains_join(spots, areas, cell=cell).collect()}
-    want = {
-        (i, k) for i, (x, y) in enumerate(points) for k, p in enumerate(polygons) if exact_covers(p, x, y)
-    }
-    assert got == want
+    assert found(spatial.contains_join(spots, areas, cell=cell)) == wanted(polygons, points)
+
+
+def test_covers_column_agrees(spark):
+    polygons = [HOLED, CONCAVE, TWO_PARTS]
+    points = [(i / 4, j / 4) for i in range(-2, 40) for j in range(-2, 40)]
+    spots, areas = frames(spark, polygons, points)
+    every = spots.crossJoin(areas).where(geo.covers(F.col("edges"), F.col("x"), F.col("y")))
+    assert found(every) == wanted(polygons, points)
 
 
 coordinate = st.integers(-12, 12).map(lambda v: v / 2)
-vertex = st.tuples(coordinate, coordinate)
-ring = st.lists(vertex, min_size=3, max_size=7)
+ring = st.lists(st.tuples(coordinate, coordinate), min_size=3, max_size=7)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
-@given(polygons=st.lists(st.lists(ring, min_size=1, max_size=2), min_size=6, max_size=12), cell=st.sampled_from([0.5, 1.0, 4.0]))
-def test_contains_join_equals_exact_arithmetic(spark, polygons, cell):
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    polygons=st.lists(st.lists(ring, min_size=1, max_size=2), min_size=15, max_size=30),
+    cell=st.sampled_from([0.5, 1.0, 4.0]),
+)
+def test_contains_equals_exact_arithmetic(spark, polygons, cell):
     """Any rings at all, self-crossing and overlapping ones included."""
     points = [(i / 4, j / 4) for i in range(-26, 27, 3) for j in range(-26, 27)]
     spots, areas = frames(spark, polygons, points)
-    got = {(r.pid, int(r.shape_id)) for r in spatial.contains_join(spots, areas, cell=cell).collect()}
-    want = {
-        (i, k) for i, (x, y) in enumerate(points) for k, p in enumerate(polygons) if exact_covers(p, x, y)
-    }
-    assert got == want
+    assert found(spatial.contains_join(spots, areas, cell=cell)) == wanted(polygons, points)
+
+
+def star(random_, n, radius):
+    cx, cy = random_.uniform(-20, 20), random_.uniform(-20, 20)
+    turns = sorted(random_.uniform(0, 2 * math.pi) for _ in range(n))
+    return [(cx + radius * random_.uniform(0.3, 1) * math.cos(t), cy + radius * random_.uniform(0.3, 1) * math.sin(t)) for t in turns]
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 0, "hot_rows": 50}])
+def test_contains_with_chosen_cell_and_with_salted_shuffle(spark, options):
+    """Areas from tiny to huge; a third of the points are copies of one."""
+    random_ = random.Random(5)
+    polygons = [[star(random_, random_.choice([3, 9, 200]), random_.choice([0.05, 1, 15]))] for _ in range(60)]
+    points = [(random_.uniform(-30, 30), random_.uniform(-30, 30)) for _ in range(1200)]
+    points += [(polygons[3][0][0][0], polygons[3][0][0][1])] * 600
+    spots, areas = frames(spark, polygons, points)
+    joined = spatial.contains_join(spots.repartition(6), areas, **options)
+    assert found(joined) == wanted(polygons, points)
+    plan = joined._jdf.queryExecution().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert joined.groupBy("pid", "shape_id").count().where("count > 1").count() == 0
+
+
+def test_points_without_position_are_dropped(spark):
+    _, areas = frames(spark, [HOLED], [])
+    raw = spark.createDataFrame([("1", "1"), ("NaN", "1"), ("x", "1"), (None, "1")], "a string, b string")
+    spots = raw.select(geo.number(F.col("a")).alias("x"), geo.number(F.col("b")).alias("y"))
+    assert spatial.contains_join(spots, areas).count() == 1
+
+
+def test_tiles_hold_only_nearby_edges(spark):
+    """An area with very many corners: a tile keeps the few edges of its cell."""
+    random_ = random.Random(1)
+    turns = [2 * math.pi * i / 20000 for i in range(20000)]
+    ring_ = [((10 + random_.uniform(-0.01, 0.01)) * math.cos(t), 10 * math.sin(t)) for t in turns]
+    _, areas = frames(spark, [[ring_]], [])
+    plan = plan_tiles(areas)
+    tiles = area_tiles(areas, plan.cell)
+    sizes = tiles.agg(F.count("*").alias("n"), F.max(F.size("pieces")).alias("most"), F.count_if(F.col("pieces").isNull()).alias("whole")).first()
+    assert sizes.n <= plan.tiles
+    assert sizes.most < 1000
+    assert sizes.whole > 0
+
+
+@pytest.mark.parametrize("cell", [None, 262144.0])
+def test_distance_join_equals_every_pair(spark, cell):
+    random_ = random.Random(9)
+    polygons = [[star(random_, random_.choice([3, 8, 40]), random_.choice([0.05, 0.5, 6]))] for _ in range(40)]
+    points = [(random_.uniform(-22, 22), random_.uniform(-22, 22)) for _ in range(700)]
+    spots, areas = frames(spark, polygons, points)
+    x, y = geo.mercator_x(F.col("x")), geo.mercator_y(F.col("y"))
+    every = (
+        spots.crossJoin(areas.select("shape_id", geo.mercator_edges(F.col("edges")).alias("edges")))
+        .select("pid", "shape_id", geo.distance(F.col("edges"), x, y).alias("distance"))
+        .where("distance <= 50000")
+    )
+    want = {(r.pid, r.shape_id): r.distance for r in every.collect()}
+    got = {(r.pid, r.shape_id): r.distance for r in spatial.distance_join(spots, areas, cell=cell).collect()}
+    assert got.keys() == want.keys()
+    assert len(want) > 100 and any(d == 0 for d in want.values()) and any(d > 0 for d in want.values())
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-6) for k in want)
+
+
+def test_distance_reach_is_inclusive(spark):
+    """One degree of longitude on the equator, with the reach set to just that."""
+    spots, areas = frames(spark, [[[(0, -1), (1, -1), (1, 1), (0, 1)]]], [(2, 0), (2.001, 0), (0.5, 0)])
+    one = geo.EARTH_RADIUS * math.radians(2) - geo.EARTH_RADIUS * math.radians(1)
+    got = {r.pid: r.distance for r in spatial.distance_join(spots, areas, reach=one).collect()}
+    assert got == {0: one, 2: 0.0}
+
+
+@pytest.mark.parametrize("hot_rows", [10, 2_000_000])
+def test_nearest_keeps_ties(spark, hot_rows):
+    rows = [("a", 0.0, i) for i in range(500)] + [("a", 1.0, 900)]
+    rows += [("b", float(d), 1000 + i) for i, d in enumerate([5, 1, 3, 3, 3, 9])]
+    rows += [("c", 2.0, 2000)]
+    pairs = spark.createDataFrame(rows, "shape string, d double, pid long").repartition(5)
+    got = spatial.nearest_with_ties(pairs, "shape", "d", 3, hot_rows=hot_rows)
+    want = pairs.withColumn("rank", F.expr("rank() over (partition by shape order by d)")).where("rank < 4")
+    columns = ["shape", "d", "pid", "rank"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    assert {r.pid for r in got.where("shape = 'a'").collect()} == set(range(500))
+
+
+def test_nearest_limits_before_the_shuffle(spark):
+    pairs = spark.range(1000).selectExpr("id % 5 AS shape", "cast(id as double) AS d", "id AS pid")
+    assert "WindowGroupLimit" in spatial.nearest_with_ties(pairs, "shape", "d", 3)._jdf.queryExecution().toString()
+
+
+def test_projection_round_trip(spark):
+    df = spark.range(-80, 84).selectExpr("id * 2.0D AS lon", "cast(id AS double) AS lat")
+    row = df.agg(
+        F.max(F.abs(geo.longitude(geo.mercator_x(F.col("lon"))) - F.col("lon"))).alias("lon"),
+        F.max(F.abs(geo.latitude(geo.mercator_y(F.col("lat"))) - F.col("lat"))).alias("lat"),
+    ).first()
+    assert row.lon < 1e-12 and row.lat < 1e-12
+    poles = spark.range(1).select(geo.mercator_y(F.lit(-90.0)).alias("y")).first()
+    assert math.isfinite(poles.y)
+
+
+def test_wkt_reading(spark):
+    texts = [
+        "POLYGON((0 0,2 0,2 2,0 0))",
+        "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0)), ((6 6, 9 6, 9 9, 6 6), (7 6.5, 8 6.5, 8 7, 7 6.5)))",
+        "POLYGON((0 0,1e1 0,1 -1.5))",
+        "POLYGON EMPTY",
+        None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "w string")
+    rows = df.select(geo.wkt_rings(F.col("w")).alias("r"), geo.wkt_edges(F.col("w")).alias("e")).collect()
+    assert [None if r.r is None else [len(x) for x in r.r] for r in rows] == [[4], [4, 4, 4], [3], [], None]
+    assert len(rows[2].e) == 3  # the open ring is closed
+    assert all(e.y1 <= e.y2 for r in rows if r.e for e in r.e)
+
+
+def test_extent_flip_and_text(spark):
+    df = spark.createDataFrame([(1.5, -2.0), (3.0, 4.0), (None, None)], "x double, y double")
+    assert tuple(geo.extent(df).first()) == (1.5, 3.0, -2.0, 4.0, 2)
+    flipped = df.select(geo.flip(F.struct("x", "y")).alias("p"), geo.point_wkt(F.col("x"), F.col("y")).alias("w")).first()
+    assert (flipped.p.x, flipped.p.y, flipped.w) == (-2.0, 1.5, "POINT (1.5 -2.0)")
+
+
+def test_sql_functions(spark):
+    geo.register_sql_functions(spark)
+    row = spark.sql(
+        "SELECT el_point(1.5D, 2D) p, el_strip_srid('SRID=4326;POINT (1 2)') s, el_strip_srid('POINT (1 2)') t,"
+        " size(el_rings('POLYGON((0 0,1 0,1 1,0 0),(0 0,1 0,1 1,0 0))')) n, el_latitude(el_mercator_y(12.5D)) l"
+    ).first()
+    assert (row.p, row.s, row.t, row.n) == ("POINT (1.5 2.0)", "POINT (1 2)", "POINT (1 2)", 2)
+    assert math.isclose(row.l, 12.5)
