@@ -144,11 +144,13 @@ def stations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weather_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The weather fact as the job writes it."""
+    """The weather fact as the job writes it, from the station table the job before it wrote."""
     source = areas(spark, sf_dir)
-    links = jobs.stations_table(
-        station_points(spark, sf_dir), shapes_at(source), relations_at(source)
+    folder = shared_folder(spark, "stations")
+    sinks.replace_table(
+        jobs.stations_table(station_points(spark, sf_dir), shapes_at(source), relations_at(source)), folder
     )
+    links = readers.read_table(spark, folder)
     readings = jobs.clean_weather(bindings.view(spark, sf_dir, bindings.SOURCE_WEATHER))
     table = plain_time(jobs.weather_table(readings, links))
     return table.withColumn("distance_from_station", F.round(F.col("distance_from_station").cast("double"), 1))
@@ -296,13 +298,14 @@ def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weekly_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.weekly_readings(weather(spark, sf_dir), "PRCP", *SPINE)
+    weekly = analytics.weekly_readings(weather(spark, sf_dir), "PRCP", *SPINE)
+    return weekly.orderBy("adm", "year", "week")
 
 
 @query
 def weekly_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = analytics.weekly_readings(weather(spark, sf_dir), "TAVG", *SPINE, mean=True)
-    return weekly.withColumn("agg_value", F.round("agg_value", 6))
+    return weekly.withColumn("agg_value", F.round("agg_value", 6)).orderBy("adm", "year", "week")
 
 
 @query
@@ -312,12 +315,13 @@ def rolling_sums_weekly_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.weekly_fires(fires(spark, sf_dir))
+    return analytics.weekly_fires(fires(spark, sf_dir)).orderBy("adm", "year", "week")
 
 
 @query
 def weekly_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.rain_and_fires(weather(spark, sf_dir), fires(spark, sf_dir))
+    weekly = analytics.rain_and_fires(weather(spark, sf_dir), fires(spark, sf_dir))
+    return weekly.orderBy("adm", "year", "week")
 
 
 @query
@@ -335,12 +339,13 @@ def rolling_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.monthly_fires(fires(spark, sf_dir))
+    return analytics.monthly_fires(fires(spark, sf_dir)).orderBy("adm4_name", "year", "month")
 
 
 @query
 def region_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.region_month_fires(fires(spark, sf_dir))
+    """In the order of the month's name, as a table to be pivoted later."""
+    return analytics.region_month_fires(fires(spark, sf_dir)).orderBy("adm4_name", "year", "month_name")
 
 
 @query
