@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 2_000_000  # rows of one key that a single task may take
+BROADCAST_BYTES = 128 * 1024 * 1024
+HOT_ROWS = 1_000_000  # rows of one key that a single task may take
 HOT_KEYS = 1000  # each key outside the list of the heaviest holds at most 1/1000 of the rows
 
 

@@ -11,6 +11,7 @@ from emberlake.operators.tiles import TilePlan, area_tiles, cell_of, plan_tiles,
 from emberlake.session import settle, spread
 
 REACH = 50_000.0  # fixed value: projected metres
+TILE_COLUMNS = ("odd", "first", "second", "rest", "near")
 NEIGHBOURS = 3  # fixed value: stations kept per area, ties aside
 
 
@@ -56,7 +57,7 @@ def contains_join(
     px, py = F.col(x), F.col(y)
     plan = plan_tiles(areas, cell=cell)
     joined = _with_tiles(points, areas, px, py, plan, 0.0, limit, hot_rows)
-    return joined.where(tile_covers(px, py)).drop("odd", "pieces")
+    return joined.where(tile_covers(px, py)).drop(*TILE_COLUMNS)
 
 
 def distance_join(
@@ -79,7 +80,7 @@ def distance_join(
     plan = plan_tiles(metres, reach, cell)
     joined = _with_tiles(projected, metres, px, py, plan, reach, limit, hot_rows)
     apart = F.when(tile_covers(px, py), F.lit(0.0)).otherwise(geo.outline_distance(F.col("near"), px, py))
-    measured = joined.withColumn("distance", apart).drop("odd", "pieces", "near", "_mx", "_my")
+    measured = joined.withColumn("distance", apart).drop(*TILE_COLUMNS, "_mx", "_my")
     return measured.where(F.col("distance") <= reach)
 
 

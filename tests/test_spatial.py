@@ -121,7 +121,7 @@ def test_tiles_hold_only_nearby_edges(spark):
     _, areas = frames(spark, [[ring_]], [])
     plan = plan_tiles(areas)
     tiles = area_tiles(areas, plan.cell)
-    sizes = tiles.agg(F.count("*").alias("n"), F.max(F.size("pieces")).alias("most"), F.count_if(F.col("pieces").isNull()).alias("whole")).first()
+    sizes = tiles.agg(F.count("*").alias("n"), F.max(F.size("rest")).alias("most"), F.count_if(F.col("first").isNull()).alias("whole")).first()
     assert sizes.n <= plan.tiles
     assert sizes.most < 1000
     assert sizes.whole > 0
