@@ -113,6 +113,17 @@ def test_points_without_position_are_dropped(spark):
     assert spatial.contains_join(spots, areas).count() == 1
 
 
+def test_unreadable_and_empty_shapes_do_no_harm(spark):
+    texts = ["POLYGON((0 0,4 0,4 4,0 4,0 0))", "POLYGON((0 0,x 0,4 y,0 4,0 0))", "POLYGON EMPTY", None]
+    shapes = spark.createDataFrame(list(enumerate(texts)), "id int, geometry string")
+    spots = spark.createDataFrame([(0, 1.0, 1.0), (1, 5.0, 1.0)], "pid long, x double, y double")
+    got = spatial.contains_join(spots, spatial.area_edges(shapes)).where("shape_id != 1")
+    assert found(got) == {(0, 0)}
+    near = spatial.distance_join(spots, spatial.area_edges(shapes), reach=200_000.0).where("shape_id != 1")
+    assert found(near) == {(0, 0), (1, 0)}
+    assert spatial.contains_join(spots, spatial.area_edges(shapes.where("id > 1"))).count() == 0
+
+
 def test_tiles_hold_only_nearby_edges(spark):
     """An area with very many corners: a tile keeps the few edges of its cell."""
     random_ = random.Random(1)
