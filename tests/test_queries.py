@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from emberlake.functions import calendar, clean, stats
 from emberlake.operators import calendars
-from emberlake.plans import analytics
+from emberlake.plans import analytics, answers, catalog
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, answers.SQL
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
