@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emberlake.llm.common import WORD, quoted, table
+from emberlake.llm.common import WORD, quoted, table, written
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in code-point order, null last, repeating
 MOST_EPOCHS = 3.0  # a source gives at most so many times its own size
-RANGE_ROWS = 50_000  # documents of one key range, about: what one window holds
+RANGE_ROWS = 4_000  # documents of one key range, about: what one window holds
 
 
 def word_count(text: Column) -> Column:
@@ -76,6 +76,8 @@ def mix(
         F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("_key"),
         F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in keep]).alias("_kept"),
     )
+    if not keep:  # three narrow columns are cheaper to write than to compute again
+        sized = written(sized, "sizes")
     prefix = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
     n_rows = F.ceil(F.col("_rows") / F.lit(range_rows))
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
