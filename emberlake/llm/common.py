@@ -91,17 +91,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def membership_bits(df: DataFrame, column: str) -> np.ndarray:
-    """Bitmap over the low ``BITS`` bits of a column of 64-bit hashes.
+    """Bitmap with two of ``2 ** BITS`` bits, the lowest and the highest, for each of a column of 64-bit hashes.
 
     Its size is fixed, so it can be broadcast whatever the size of ``df``. A set bit only says "perhaps":
     rows that pass must meet ``df`` in a join.
     """
-    bit = F.col(column).bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
-    one = F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")
+    mask = F.lit((1 << BITS) - 1).cast("long")
+    both = F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(column, 64 - BITS).bitwiseAND(mask))
     words = (
         df.where(F.col(column).isNotNull())
-        .groupBy(F.shiftright(bit, 6).alias("word"))
-        .agg(F.bit_or(one).alias("bits"))
+        .select(F.explode(both).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
         .toPandas()
     )
     bits = np.zeros(1 << (BITS - 6), np.uint64)
@@ -110,8 +111,18 @@ def membership_bits(df: DataFrame, column: str) -> np.ndarray:
 
 
 def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    low = hashes & np.uint64((1 << BITS) - 1)
-    return (bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) != 0
+    found = np.ones(len(hashes), bool)
+    for bit in (hashes & np.uint64((1 << BITS) - 1), hashes >> np.uint64(64 - BITS)):
+        found &= (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+    return found
+
+
+def bits_of(hashes: np.ndarray) -> np.ndarray:
+    """The bitmap of a few hashes that the driver holds."""
+    bits = np.zeros(1 << (BITS - 6), np.uint64)
+    for bit in (hashes & np.uint64((1 << BITS) - 1), hashes >> np.uint64(64 - BITS)):
+        np.bitwise_or.at(bits, bit >> np.uint64(6), np.uint64(1) << (bit & np.uint64(63)))
+    return bits
 
 
 def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:

@@ -22,7 +22,8 @@ from emberlake.llm.words import shingles, split_words
 WIDTH = 5  # words of a shingle
 SIMILARITY = 85  # per cent
 BANDS, ROWS = 32, 6  # a pair at 85 % is missed with probability (1 - 0.85^6)^32 = 3e-7
-PAIRS_PER_ROW = 4  # the rest of a round is compared at once if it has no more pairs than so many times its rows
+SKETCH_SHARE = 0.75  # equal places of two signatures from which on a pair is looked at exactly; 4 deviations below 0.85
+PART_ROWS = 2_000  # rows of a bucket that one task compares with all others of it
 
 
 def _sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, bytes]]:
@@ -40,7 +41,9 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for s, _ in sets], np.int64)
         owners = np.repeat(np.arange(n), sizes)
         elements = np.concatenate([s for s, _ in sets]) if n else np.zeros(0, np.uint64)
-        bands = band_keys(signatures(elements, owners, n, BANDS * ROWS), ROWS)
+        signed = signatures(elements, owners, n, BANDS * ROWS)
+        bands = band_keys(signed, ROWS)
+        sketch = signed.astype(np.uint8)  # the last byte of each place
         some = sizes > 0
         offsets = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -50,8 +53,9 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(sizes),
                 pa.array([k if s else None for (_, k), s in zip(sets, some, strict=True)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].ravel())),
+                pa.array([x.tobytes() if s else None for x, s in zip(sketch, some, strict=True)], pa.binary()),
             ],
-            names=["doc_id", "text_key", "n_shingles", "class", "bands"],
+            names=["doc_id", "text_key", "n_shingles", "class", "bands", "sketch"],
         )
 
 
@@ -101,70 +105,63 @@ class _Verifier:
         return both.where(close).select("u", "v")
 
 
-def _classes_of(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return buckets.withColumn("group", F.col("class"))
-    named = labels.select(F.col("node").alias("class"), "root")
-    return buckets.join(named, "class", "left").select("bucket", "class", F.coalesce("root", "class").alias("group"))
+def _alike(part: pa.Table) -> pa.Table:
+    """Pairs of one bucket whose signatures agree enough: own rows against all rows of other groups.
+
+    A pair that meets in several buckets is given by that of its first common band only.
+    """
+    n = part.num_rows
+    sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
+    group = part["group"].combine_chunks().dictionary_encode().indices.to_numpy()
+    own = np.flatnonzero(part["own"].to_numpy())
+    band, classes = part["band"][0].as_py(), part["class"].to_pylist()
+    left, right = [], []
+    for i in own:
+        equal = sketch == sketch[i]
+        near = np.flatnonzero((equal.mean(axis=1) >= SKETCH_SHARE) & (group != group[i]))
+        first = equal[near].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
+        for j in near[first == band]:
+            left.append(min(classes[i], classes[j]))
+            right.append(max(classes[i], classes[j]))
+    return pa.table({"u": pa.array(left, pa.binary()), "v": pa.array(right, pa.binary())})
 
 
 def class_links(docs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
     """(node, root): groups of classes linked by similarity, found without naming all pairs of a bucket.
 
-    Round one compares each bucket's members with its least member. What is not yet in one group with the
-    others is then compared across groups: all at once if that makes few pairs for the rows, else with the
-    next member as pivot, round by round. Pairs inside a group need no look: they cannot change it.
+    First each bucket's members are compared with its hub, the member that shares buckets with most others:
+    the original of a group of copies is close to all of them. What a bucket then still holds of other groups
+    than its largest is compared with all the bucket by signature, a part of the rows in each task, and pairs
+    whose signatures agree on three quarters of the places are decided on the full sets. Pairs inside a group
+    need no look: they cannot change it.
     """
-    exploded = classes.select(F.explode("bands").alias("bucket"), "class")
-    sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    exploded = classes.select(F.posexplode("bands").alias("band", "bucket"), "class")
+    sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = written(exploded.join(sizes, "bucket"), "buckets")
+    meets = rows.groupBy("class").agg(F.sum("n").alias("meets"))
+    hub = F.max(F.struct("meets", "class"))["class"]
+    hubs = written(rows.join(meets, "class").groupBy("bucket").agg(hub.alias("hub")), "hubs")
+    pairs = rows.join(hubs, "bucket").where(F.col("class") != F.col("hub"))
+    pairs = pairs.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
+    pairs = written(pairs, "pairs")
     verifier = _Verifier(docs, classes, per_cent)
-    labels: DataFrame | None = None
-    edges: DataFrame | None = None
-    tested: DataFrame | None = None
-    while True:
-        grouped = _classes_of(rows, labels)
-        last = False
-        if labels is not None:
-            counts = grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
-            totals = counts.groupBy("bucket").agg(
-                F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.col("n")).alias("squares"),
-                F.max(F.struct("n", "group"))["group"].alias("main"),
-            )
-            open_buckets = written(totals.where("n * n > squares and n > 2"), "open")
-            crossing, many = open_buckets.agg(
-                F.coalesce(F.sum(F.expr("(n * n - squares) / 2")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))
-            ).first()
-            if not crossing:
-                return labels
-            last = crossing <= PAIRS_PER_ROW * (many + 100_000)
-            rows = written(grouped.join(open_buckets.select("bucket", "main"), "bucket"), "rest")
-            grouped, rows = rows, rows.select("bucket", "class")
-        if last:
-            minor = grouped.where(F.col("group") != F.col("main")).select("bucket", F.col("class").alias("x"), F.col("group").alias("gx"))
-            pairs = grouped.join(minor, "bucket").where(
-                (F.col("group") != F.col("gx")) & ((F.col("group") == F.col("main")) | (F.col("class") < F.col("x")))
-            )
-            pairs = pairs.select(F.least("class", "x").alias("u"), F.greatest("class", "x").alias("v"))
-        else:
-            pivots = rows.groupBy("bucket").agg(F.min("class").alias("u"))
-            joined = grouped.join(pivots, "bucket").where(F.col("class") != F.col("u"))
-            if labels is not None:
-                own = labels.select(F.col("node").alias("u"), F.col("root").alias("gu"))
-                joined = joined.join(own, "u", "left").where(F.coalesce("gu", "u") != F.col("group"))
-            pairs = joined.select("u", F.col("class").alias("v"))
-            rows = rows.join(pivots, "bucket").where(F.col("class") != F.col("u")).select("bucket", "class")
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = written(verifier.links(pairs), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = connected(edges)
-        if last:
-            return labels
+    links = written(verifier.links(pairs), "links")
+    labels = connected(links)
+
+    named = rows.where("n > 2").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    grouped = written(named.select("bucket", "band", "class", F.coalesce("root", "class").alias("group")), "grouped")
+    counts = grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("main"))
+    parts = F.ceil((F.col("n") - F.col("main.n")) / F.lit(PART_ROWS)).cast("int")
+    open_buckets = totals.where("n > main.n").select("bucket", F.col("main.group").alias("main"), parts.alias("parts"))
+    dealt = grouped.join(open_buckets, "bucket").join(classes.select("class", "sketch"), "class")
+    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    mine = F.pmod(F.xxhash64("class"), F.col("parts")) == F.col("part")
+    dealt = dealt.withColumn("own", (F.col("group") != F.col("main")) & mine)
+    alike = dealt.select("bucket", "part", "band", "class", "group", "sketch", "own").groupBy("bucket", "part")
+    rest = alike.applyInArrow(_alike, "u binary, v binary").distinct().join(pairs, ["u", "v"], "left_anti")
+    more = written(verifier.links(written(rest, "rest")), "links")
+    return connected(links.unionByName(more)) if more.head() else labels
 
 
 def near_duplicates(docs: DataFrame, per_cent: int = SIMILARITY) -> DataFrame:
@@ -181,19 +178,19 @@ def near_duplicates(docs: DataFrame, per_cent: int = SIMILARITY) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     marks = docs.mapInArrow(
-        _mark, "doc_id long, text_key long, n_shingles long, class binary, bands array<long>"
+        _mark, "doc_id long, text_key long, n_shingles long, class binary, bands array<long>, sketch binary"
     )
     marks = written(marks, "marks")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_key"))
     some = marks.where(F.col("class").isNotNull())
-    classes = some.groupBy("class", "bands").agg(F.min(row).alias("first"))
+    classes = some.groupBy("class", "bands", "sketch").agg(F.min(row).alias("first"))
     classes = written(classes.withColumn("first_id", F.col("first.doc_id")), "classes")
     labels = class_links(docs.select("doc_id", "text"), classes, per_cent)
     grouped = classes.select("class", "first").join(labels.withColumnRenamed("node", "class"), "class", "left")
     grouped = grouped.select("class", "first", F.coalesce("root", "class").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first").alias("stands"))
     named = written(grouped.join(least, "root").select("class", "stands"), "groups")
-    joined = marks.drop("bands").join(named, "class", "left")
+    joined = marks.drop("bands", "sketch").join(named, "class", "left")
     alone = F.col("class").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("stands.doc_id"))
     return joined.select(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import BITS, bounded_sample, has_bit, mixed, others, quoted, remainder, slices, table
+from emberlake.llm.common import bits_of, bounded_sample, has_bit, mixed, others, quoted, remainder, slices, table
 from emberlake.llm.train import averaged_sparse, logistic
 from emberlake.llm.words import Words, split_words
 
@@ -116,9 +116,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     and ties get equal scores. An empty table gives an empty result; a model without weights gives 0.5.
     """
     hashes, weights = model
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
-    low = hashes & np.uint64((1 << BITS) - 1)
-    np.bitwise_or.at(bits, low >> np.uint64(6), np.uint64(1) << (low & np.uint64(63)))
+    bits = bits_of(hashes)
     shared = docs.sparkSession.sparkContext.broadcast((hashes, weights, bits))
     docs = docs.select(*map(quoted, others(docs, "toxicity")))
     schema = docs.select("*", F.lit(0.0).alias("toxicity")).schema

@@ -97,12 +97,23 @@ def test_near_duplicates_in_chains_and_large_groups(spark):
     assert got == dict(enumerate(parent))
 
 
-def test_pivot_rounds_give_the_same_groups(spark, monkeypatch):
-    base = [f"w{i}" for i in range(200)]
-    texts = [" ".join([*base[: 200 - 9 * k], *[f"y{k}_{i}" for i in range(9 * k)]]) for k in range(8)] * 1
+def test_parts_of_a_bucket_give_the_same_groups(spark, monkeypatch):
+    random = np.random.default_rng(4)
+    texts = []
+    for _ in range(60):  # copies of copies, so that many pairs lie on either side of the bound
+        own = [f"w{i}" for i in range(150)] if not texts else texts[random.integers(len(texts))].split()
+        own = [f"x{random.integers(10**9)}" if random.random() < 0.02 else w for w in own]
+        texts.append(" ".join(own))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = sorted(map(tuple, neardup.near_duplicates(docs).select("doc_id", "component_id").collect()))
-    monkeypatch.setattr(neardup, "PAIRS_PER_ROW", -1)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(146)} for t in texts]
+    parent = list(range(60))
+    for i, j in itertools.combinations(range(60), 2):
+        if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            a, b = sorted((parent[i], parent[j]))
+            parent = [a if p == b else p for p in parent]
+    assert want == list(enumerate(parent))
+    monkeypatch.setattr(neardup, "PART_ROWS", 2)
     assert sorted(map(tuple, neardup.near_duplicates(docs).select("doc_id", "component_id").collect())) == want
 
 
