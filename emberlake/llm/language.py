@@ -93,7 +93,8 @@ def _fit(codes: np.ndarray) -> Callable[[pa.Table], np.ndarray]:
         weights = np.zeros((DIMENSIONS + 1, codes.shape[1]))
         if not sample.num_rows:
             return weights.ravel()
-        x = features(sample["text"].combine_chunks()).astype(np.float32)
+        batches = slices(sample.select(["text"]).to_batches(), "text", 1 << 20)
+        x = np.concatenate([features(b.column("text")).astype(np.float32) for b in batches])
         y = codes[sample["label"].to_numpy()]
         speed = np.zeros_like(weights)
         for _ in range(steps):

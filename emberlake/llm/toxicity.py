@@ -38,26 +38,34 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
+def _distinct_features(texts: pa.ChunkedArray) -> list[np.ndarray]:
+    """Sorted feature hashes of each text, made a few megabytes of text at a time."""
+    out = []
+    for batch in slices(pa.table({"text": texts}).to_batches(), "text", 1 << 20):
+        owner, found = features(split_words(batch.column("text"), bare=True))
+        order = np.argsort(owner, kind="stable")
+        bounds = np.searchsorted(owner[order], np.arange(1, batch.num_rows))
+        out += [np.unique(own) for own in np.split(found[order], bounds)]
+    return out
+
+
 def _fit(sample: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal over the documents in order; each feature counts once per document.
 
     Features of fewer documents than two, or than a small share of the sample, are left out.
     """
     labels = sample["label"].to_numpy().astype(float)
-    words = split_words(sample["text"].combine_chunks(), bare=True)
-    owners, hashes = features(words)
-    distinct, index = np.unique(hashes, return_inverse=True)
-    cells = np.unique(owners.astype(np.int64) * max(1, len(distinct)) + index)
-    owner, index = cells // max(1, len(distinct)), cells % max(1, len(distinct))
-    least = max(2, LEAST_SHARE * len(labels))
-    common = np.bincount(index, minlength=len(distinct)) >= least
-    place = np.cumsum(common)  # 0 is the bias
-    kept = common[index]
-    owner, index = owner[kept], place[index[kept]]
-    features_of = np.split(index, np.searchsorted(owner, np.arange(1, max(1, len(labels)))))
+    hashes_of = _distinct_features(sample["text"])
+    seen = np.concatenate([*hashes_of, np.zeros(0, np.uint64)])
+    seen.sort()
+    new = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])[: len(seen)])
+    common = seen[new[np.diff(np.append(new, len(seen))) >= max(2, LEAST_SHARE * len(labels))]]
+    del seen
+    # place 0 is the bias
+    features_of = [1 + np.searchsorted(common, own[np.isin(own, common, assume_unique=True)]) for own in hashes_of]
     share = min(max(labels.mean(), 1e-6), 1 - 1e-6) if len(labels) else 0.5
     weight = np.where(labels > 0, min(RARE, max(1, 1 / share - 1)), min(RARE, max(1, 1 / (1 / share - 1))))
-    z, n = np.zeros(int(common.sum()) + 1), np.zeros(int(common.sum()) + 1)
+    z, n = np.zeros(len(common) + 1), np.zeros(len(common) + 1)
     l1 = np.full(len(z), L1 * np.sqrt(len(labels)))
     l1[0] = 0
 
@@ -74,7 +82,7 @@ def _fit(sample: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             z[i] += slope - sigma * w
             n[i] += slope * slope
     final = weights_at(np.arange(len(z)))
-    names = np.concatenate([[BIAS], distinct[common]]).astype(np.uint64)
+    names = np.concatenate([np.array([BIAS]), common])
     some = final != 0
     return names[some], final[some]
 
@@ -97,13 +105,18 @@ def _scores(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return run
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted feature hashes and weights from (doc_id, text, label); at most ``sample`` documents are read."""
-    keyed = labelled.withColumn("text_key", F.xxhash64("text"))
-    narrow = keyed.groupBy("text_key").agg(F.max("label").alias("label"))
-    chosen = F.broadcast(bounded_sample(narrow, "text_key", sample))
-    rows = keyed.drop("label").join(chosen, "text_key").dropDuplicates(["text_key"])
-    return averaged_sparse(rows.select("doc_id", "text", "label"), _fit)
+def train(docs: DataFrame, labels: DataFrame, column: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted feature hashes and weights, learned from documents (doc_id, text) and labels (doc_id, ``column``).
+
+    At most ``sample`` labelled documents are read, chosen by a hash of their id; only ids move before they
+    are chosen. Of several labels of an id the largest holds, of several texts the least.
+    """
+    known = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.max(column).alias("label"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = F.broadcast(bounded_sample(known, "doc_id", sample))
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    return averaged_sparse(rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")), _fit)
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -123,17 +136,11 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     return docs.mapInArrow(_scores(shared), schema)
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
-    """(doc_id, text, label) of documents with a label; of several labels of one id the largest holds."""
-    own = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
-    return docs.select("doc_id", "text").join(own.agg(F.max(column).alias("label")), "doc_id")
-
-
 def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     left = F.coalesce(remainder(F.col("doc_id"), FOLDS) == 0, F.lit(True))
-    model = train(labelled_documents(docs, labels.where(~left), "toxic"))
+    model = train(docs, labels.where(~left), "toxic")
     found = scored(docs, model)
     score = F.col("toxicity")
     return found.select("doc_id", left.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))

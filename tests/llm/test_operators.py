@@ -296,18 +296,20 @@ def test_next_rows_across_ranges(spark):
 
 def test_toxicity(spark, odd, empty):
     rows = [(i, f"{'vile ' * (i % 2)}plain words number n{i} end", None, None) for i in range(200)]
-    labelled = table(spark, rows).select("doc_id", "text", (F.col("doc_id") % 2).alias("label"))
-    model = toxicity.train(labelled)
-    got = {r.text: r.toxicity for r in toxicity.scored(labelled, model).collect()}
+    docs = table(spark, rows)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    model = toxicity.train(docs, labels, "toxic")
+    got = {r.text: r.toxicity for r in toxicity.scored(docs, model).collect()}
     assert all((score >= 0.5) == text.startswith("vile") for text, score in got.items())
     scored = toxicity.scored(odd, model)
     assert scored.columns.count("toxicity") == 1 and scored.count() == len(ROWS) and toxicity.scored(empty, model).count() == 0
     blank = {r.toxicity for r in scored.collect() if not (r.text or "").strip()}
     assert len(blank) == 1
-    untrained = toxicity.train(labelled.limit(0))
+    untrained = toxicity.train(docs, labels.limit(0), "toxic")
     assert {r.toxicity for r in toxicity.scored(odd, untrained).collect()} == {0.5}
-    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1)], "doc_id long, toxic int")
-    assert [(r.doc_id, r.label) for r in toxicity.labelled_documents(odd, labels, "toxic").collect()] == [(1, 1)]
+    twice = spark.createDataFrame([(i, t) for i in range(200) for t in (0, i % 2, None)] + [(None, 1), (999, 1)], "doc_id long, toxic int")
+    again = toxicity.train(docs.unionByName(docs), twice, "toxic")
+    assert (again[0] == model[0]).all() and np.allclose(again[1], model[1])
 
 
 def test_language(spark, odd, empty):
