@@ -30,8 +30,9 @@ from emberlake.llm.words import split_words
 
 FREQUENT = 1 << 16  # words whose counts every task holds: 1 MB
 TRUST = 0.3  # share of the pair's own frequency after a frequent word
-SHARD_BYTES = 24 << 20  # text per shard, about
-BLOCK_DOCUMENTS = 32_000  # a block has 8 MB of text, or so many documents: their numbers have 15 bits
+SHARD_BYTES = 16 << 20  # text per shard, about
+BLOCK_BYTES = 3 << 20
+BLOCK_DOCUMENTS = 32_000  # a block has 3 MB of text, or so many documents: their numbers have 15 bits
 HELD = 1 << 15  # set on the number of a held-out document
 END, BEGIN = np.uint64(1 << 60), np.uint64(2 << 60)  # stand for the end and the beginning of a text
 CHILD_SHIFT = np.uint64(64 - Trie.CHILD_BITS)
@@ -61,7 +62,7 @@ class Frequent:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", BLOCK_BYTES):
         for start in range(0, batch.num_rows, BLOCK_DOCUMENTS):
             yield batch.slice(start, BLOCK_DOCUMENTS)
 
@@ -166,6 +167,7 @@ def _pairs(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
             spread = np.where(frequent.look_up(w) > 0, mixed(w + mixed(_child(u))), mixed(w))
             shard = (spread % np.uint64(frequent.shards)).astype(np.int64)
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint16) * np.uint16(HELD)
+            lengths = np.bincount(owner, often, batch.num_rows).astype(np.int64).tolist()
             marked = owner.astype(np.uint16) | held[owner]
             cuts = list(_by_shard(shard, frequent.shards))
             rows = []
@@ -184,11 +186,13 @@ def _pairs(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
                         often[places].astype(np.uint32).tobytes(),
                         batch.column("doc_id").to_pylist() if k == number % len(cuts) else None,
                         batch.column("held_out").to_pylist() if k == number % len(cuts) else None,
+                        lengths if k == number % len(cuts) else None,
                     )
                 )
-            names = ["shard", "block", "words", "sizes", "children", "posts", "owners", "often", "documents", "held_out"]
+            names = ["shard", "block", "words", "sizes", "children", "posts", "owners", "often", "documents", "held_out", "n_tokens"]
             columns = [pa.array(c) for c in zip(*rows, strict=True)]
-            columns[-2:] = columns[-2].cast(pa.list_(pa.int64())), columns[-1].cast(pa.list_(pa.bool_()))
+            for k, kind in ((-3, pa.int64()), (-2, pa.bool_()), (-1, pa.int64())):
+                columns[k] = columns[k].cast(pa.list_(kind))
             yield pa.RecordBatch.from_arrays(columns, names=names)
             number += 1
 
@@ -301,12 +305,15 @@ def _answers(shared) -> Callable[[pa.Table], pa.Table]:
             some = np.flatnonzero(np.bincount(b.owners))
             sums = [
                 np.bincount(b.owners, b.often * x[each])[some]
-                for x in (value, np.log10(count + 1.0), (count > 0).astype(float), np.ones(len(count)))
+                for x in (value, np.log10(count + 1.0), (count > 0).astype(float))
             ]
-            out.append((b.number, some, *sums))
-        names = ["block", "owners", "value", "base", "known", "tokens"]
+            kinds = (np.uint16, np.float32, np.float64, np.uint32)
+            out.append((b.number, *(x.astype(kind).tobytes() for x, kind in zip((some, *sums), kinds, strict=True))))
+        names = ["block", "owners", "value", "base", "known"]
         answers = pa.table(dict(zip(names, map(pa.array, zip(*out, strict=True)), strict=True)))
-        return answers.append_column("documents", part["documents"]).append_column("held_out", part["held_out"])
+        for name in ("documents", "held_out", "n_tokens"):
+            answers = answers.append_column(name, part[name])
+        return answers
 
     return run
 
@@ -317,10 +324,15 @@ def _totals(frequent: Frequent) -> Callable[[pa.Table], pa.Table]:
     def run(part: pa.Table) -> pa.Table:
         home = next(i for i in range(part.num_rows) if part["documents"][i].is_valid)
         ids, held_out = part["documents"][home].values, part["held_out"][home].values
-        owners = part["owners"].combine_chunks().flatten().to_numpy()
-        value, base, known, tokens = (
-            np.bincount(owners, part[c].combine_chunks().flatten().to_numpy(), len(ids))
-            for c in ("value", "base", "known", "tokens")
+        tokens = part["n_tokens"][home].values.to_numpy()
+
+        def joined(name: str, kind: type) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in part[name]])
+
+        owners = joined("owners", np.uint16)
+        value, base, known = (
+            np.bincount(owners, joined(name, kind), len(ids))
+            for name, kind in (("value", np.float32), ("base", np.float64), ("known", np.uint32))
         )
         base -= tokens * np.log10(frequent.tokens + frequent.distinct + 1)
         value -= np.log10(frequent.documents + frequent.least)  # the beginning of each text
@@ -328,7 +340,7 @@ def _totals(frequent: Frequent) -> Callable[[pa.Table], pa.Table]:
             {
                 "doc_id": ids,
                 "held_out": held_out,
-                "n_tokens": tokens.astype(np.int64),
+                "n_tokens": tokens,
                 "n_known": known.astype(np.int64),
                 "train_tokens": np.full(len(ids), frequent.tokens),
                 "base_score": np.round(base, 6),
@@ -358,12 +370,12 @@ def scores(docs: DataFrame, held_out: Column, shard_bytes: int = SHARD_BYTES) ->
     pairs = keyed.mapInArrow(
         _pairs(shared),
         "shard long, block long, words binary, sizes binary, children binary, posts binary, owners binary, "
-        "often binary, documents array<long>, held_out array<boolean>",
+        "often binary, documents array<long>, held_out array<boolean>, n_tokens array<long>",
     )
     answers = pairs.groupBy("shard").applyInArrow(
         _answers(shared),
-        "block long, owners array<long>, value array<double>, base array<double>, known array<double>, "
-        "tokens array<double>, documents array<long>, held_out array<boolean>",
+        "block long, owners binary, value binary, base binary, known binary, documents array<long>, "
+        "held_out array<boolean>, n_tokens array<long>",
     )
     return answers.groupBy("block").applyInArrow(
         _totals(frequent),

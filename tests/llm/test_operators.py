@@ -288,8 +288,8 @@ def test_fingerprints(odd, empty):
 
 
 def test_next_rows_across_ranges(spark):
-    ids = spark.range(0, 500, 3).select(F.struct("id").alias("row"))
-    got = {r.row.id: r.next.id for r in fingerprint.following(ids, range_rows=20).collect()}
+    ids = spark.range(0, 500, 3).select(F.col("id").cast("string").alias("key"), "id")
+    got = {int(r.key): int(r.next) for r in fingerprint.following(ids, ["id"], range_rows=20).collect()}
     want = list(range(0, 500, 3))
     assert got == dict(zip(want, [*want[1:], 0], strict=True))
 
