@@ -30,7 +30,7 @@ from emberlake.llm.words import split_words
 
 FREQUENT = 1 << 16  # words whose counts every task holds: 1 MB
 TRUST = 0.3  # share of the pair's own frequency after a frequent word
-SHARD_BYTES = 16 << 20  # text per shard, about
+SHARD_BYTES = 12 << 20  # text per shard, about
 BLOCK_BYTES = 3 << 20
 BLOCK_DOCUMENTS = 32_000  # a block has 3 MB of text, or so many documents: their numbers have 15 bits
 HELD = 1 << 15  # set on the number of a held-out document
