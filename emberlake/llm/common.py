@@ -18,7 +18,7 @@ from emberlake.session import shared_folder
 
 #: What separates words in the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 8 << 20  # text handled at a time inside a task
+SLICE_BYTES = 2 << 20  # text handled at a time inside a task
 _SHIPPED: list = []
 BITS = 26  # log2 of the size of a membership bitmap: 8 MB whatever goes in
 

@@ -189,7 +189,12 @@ def _fit(sample: pa.Table, epochs: int = 300, rate: float = 4.0, ridge: float =
     weights, squares = np.zeros(DIMENSIONS + 1), np.full(DIMENSIONS + 1, 1e-8)
     if not sample.num_rows:
         return weights
-    text, index, share = features(split_words(sample["text"].combine_chunks()))
+    parts, before = [], 0
+    for batch in slices(sample.select(["text"]).to_batches(), "text", 1 << 20):
+        text, index, share = features(split_words(batch.column("text")))
+        parts.append((text + before, index, share))
+        before += batch.num_rows
+    text, index, share = (np.concatenate(column) for column in zip(*parts, strict=True))
     goal = sample["label"].to_numpy()
     n = len(goal)
     for _ in range(epochs):
@@ -260,6 +265,8 @@ def scored(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def without_poor(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents scored below ``threshold``; a null text goes with the empty ones."""
+    if "quality_score" not in map(str.lower, docs.columns):
+        return scored(docs).where(F.col("quality_score") >= threshold).drop("quality_score")
     row = F.struct(*map(quoted, docs.columns)).alias("row")
     good = scored(docs.select("doc_id", "text", row)).where(F.col("quality_score") >= threshold)
     return good.select(*[F.col(f"row.{quoted(c)}") for c in docs.columns])
