@@ -10,9 +10,9 @@ MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "O
 
 
 def week_label(day: Column) -> Column:
-    """``MM-WW``: month, then the week of the year counted from the first Monday (00 to 53)."""
+    """``MM-WW``: month, then the week of the year counted from the first Monday (00 to 53); null for no day."""
     week = F.floor((F.dayofyear(day) + 6 - F.weekday(day)) / 7).cast("int").cast("string")
-    return F.concat_ws("-", F.lpad(F.month(day).cast("string"), 2, "0"), F.lpad(week, 2, "0"))
+    return F.concat(F.lpad(F.month(day).cast("string"), 2, "0"), F.lit("-"), F.lpad(week, 2, "0"))
 
 
 def month_name(day: Column) -> Column:
@@ -20,8 +20,9 @@ def month_name(day: Column) -> Column:
 
 
 def month_name_of(number: Column) -> Column:
-    """Abbreviation for a month number."""
-    return F.element_at(F.array(*[F.lit(name) for name in MONTH_NAMES]), number)
+    """Abbreviation for a month number; null for none."""
+    names = F.array(*[F.lit(name) for name in MONTH_NAMES])
+    return F.when(number.between(1, 12), F.get(names, number - 1))
 
 
 def days(start: Column, end: Column, step: int = 1) -> Column:
@@ -34,6 +35,12 @@ def week_labels(start: str, end: str, step: int = 7) -> Column:
     return F.array_distinct(F.transform(days(F.lit(start), F.lit(end), step), week_label))
 
 
+def week_labels_of(year: Column) -> Column:
+    """Array of all week labels of a year."""
+    every = days(F.make_date(year, F.lit(1), F.lit(1)), F.make_date(year, F.lit(12), F.lit(31)))
+    return F.array_distinct(F.transform(every, week_label))
+
+
 def spine(spark: SparkSession, start: str, end: str, step: int = 1) -> DataFrame:
     """Calendar table: one row per date with its week label, month name, year and month."""
     day = F.col("date")

@@ -31,22 +31,40 @@ def inside_only(weather: DataFrame) -> DataFrame:
 # --- weather by week -------------------------------------------------------------------------------------
 
 
+def timed(rows: DataFrame) -> DataFrame:
+    """Rows with a time: what has none belongs to no week, month or year. ``untimed`` counts the others."""
+    return rows.where(F.col("datetime").isNotNull())
+
+
+def untimed(rows: DataFrame) -> DataFrame:
+    """One row: ``rows`` and ``without_time``."""
+    lost = F.count(F.when(F.col("datetime").isNull(), 1))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), lost.alias("without_time"))
+
+
 def weekly_readings(
-    weather: DataFrame, element: str, start: str, end: str, mean: bool = False, key: str = "adm"
+    weather: DataFrame,
+    element: str,
+    start: str | None = None,
+    end: str | None = None,
+    mean: bool = False,
+    key: str = "adm",
 ) -> DataFrame:
     """Weekly sum or mean per area and year with the number of readings, on a spine of week labels.
 
-    The spine steps seven days from start to end; its labels apply to each year, and readings in a week
-    the spine does not meet are left out. A week without readings has count 0 and a null value.
+    Without start and end the spine has all labels of each year, and every reading with a time is in the
+    result. With them it steps seven days from start to end, its labels apply to each year, and readings in
+    a week that it does not meet are left out. A week without readings has count 0 and a null value.
+    ``days_recorded`` counts readings, also those whose value is null.
     """
     value = F.avg("value") if mean else F.sum("value")
     weekly = (
-        inside_only(weather)
+        timed(inside_only(weather))
         .where(F.col("element") == element)
         .groupBy(key, F.year("datetime").alias("year"), calendar.week_label(F.col("datetime")).alias("week"))
         .agg(F.count(F.lit(1)).alias("days_recorded"), value.alias("agg_value"))
     )
-    spine = calendar.week_labels(start, end)
+    spine = calendar.week_labels(start, end) if start and end else calendar.week_labels_of(F.col("year"))
     filled = calendars.fill(weekly, [key, "year"], "week", spine, ["days_recorded", "agg_value"])
     return filled.withColumn("days_recorded", F.coalesce("days_recorded", F.lit(0)))
 
@@ -99,7 +117,7 @@ def rolling_rain(
 
 def weekly_fires(fires: DataFrame, key: str = "adm") -> DataFrame:
     """Number of fires per area, year and week."""
-    return fires.groupBy(
+    return timed(fires).groupBy(
         key, F.year("datetime").alias("year"), calendar.week_label(F.col("datetime")).alias("week")
     ).agg(F.count(F.lit(1)).alias("fire_spots"))
 
@@ -125,7 +143,8 @@ def rain_fire_correlation(weekly: DataFrame, windows: Sequence[int] = WINDOWS, k
 def monthly_fires(fires: DataFrame, parent: str = "adm4_name") -> DataFrame:
     """Fires per parent area, year and month."""
     return (
-        fires.groupBy(parent, F.year("datetime").alias("year"), F.month("datetime").alias("month"))
+        timed(fires)
+        .groupBy(parent, F.year("datetime").alias("year"), F.month("datetime").alias("month"))
         .agg(F.count(F.lit(1)).alias("fire_spots"))
         .withColumn("month_name", calendar.month_name_of(F.col("month")))
     )
@@ -137,7 +156,8 @@ def region_month_fires(fires: DataFrame, parent: str = "adm4_name") -> DataFrame
     Groups follow both names, so two groups may carry one region label.
     """
     return (
-        fires.groupBy(
+        timed(fires)
+        .groupBy(
             parent,
             "adm7_name",
             "adm6_name",

@@ -257,8 +257,29 @@ FROM spine LEFT JOIN reading ON spine.adm = reading.adm AND spine.year = reading
 GROUP BY spine.adm, spine.year, spine.week"""
 
 
-SQL["weekly_sum"] = _weekly("PRCP", "CAST(SUM(value) AS BIGINT)")
-SQL["weekly_avg"] = _weekly("TAVG", "ROUND(AVG(value), 6)")
+SQL["weekly_sum_on_spine"] = _weekly("PRCP", "CAST(SUM(value) AS BIGINT)")
+SQL["weekly_avg_on_spine"] = _weekly("TAVG", "ROUND(AVG(value), 6)")
+
+
+def _every_week(element: str, value: str) -> str:
+    return f"""
+WITH reading AS (
+  SELECT adm, CAST(YEAR(datetime) AS INT) AS year, strftime(datetime, '%m-%W') AS week, value FROM {WEATHER} w
+  WHERE distance_from_station = 0 AND element = '{element}' AND datetime IS NOT NULL),
+label AS (
+  SELECT DISTINCT year, strftime(UNNEST(generate_series(make_date(year, 1, 1)::TIMESTAMP, make_date(year, 12, 31)::TIMESTAMP,
+                                                        INTERVAL 1 DAY)), '%m-%W') AS week
+  FROM (SELECT DISTINCT year FROM reading))
+SELECT k.adm, k.year, label.week, COUNT(reading.week) AS days_recorded, {value} AS agg_value
+FROM (SELECT DISTINCT adm, year FROM reading) k JOIN label USING (year)
+LEFT JOIN reading ON reading.adm = k.adm AND reading.year = k.year AND reading.week = label.week
+GROUP BY k.adm, k.year, label.week"""
+
+
+SQL["weekly_sum"] = _every_week("PRCP", "CAST(SUM(value) AS BIGINT)")
+SQL["weekly_avg"] = _every_week("TAVG", "ROUND(AVG(value), 6)")
+SQL["readings_without_time"] = f"""
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (datetime IS NULL) AS without_time FROM {WEATHER} w"""
 
 _WINDOWS = (15, 30, 60, 90, 120, 150)
 ROLLING = f"""

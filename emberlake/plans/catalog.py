@@ -298,14 +298,31 @@ def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weekly_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weekly = analytics.weekly_readings(weather(spark, sf_dir), "PRCP", *SPINE)
-    return weekly.orderBy("adm", "year", "week")
+    return analytics.weekly_readings(weather(spark, sf_dir), "PRCP")
+
+
+@query
+def weekly_sum_on_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sums on one year's labels a week apart; the weeks these do not meet are left out."""
+    return analytics.weekly_readings(weather(spark, sf_dir), "PRCP", *SPINE)
 
 
 @query
 def weekly_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weekly = analytics.weekly_readings(weather(spark, sf_dir), "TAVG", mean=True)
+    return weekly.withColumn("agg_value", F.round("agg_value", 6))
+
+
+@query
+def weekly_avg_on_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = analytics.weekly_readings(weather(spark, sf_dir), "TAVG", *SPINE, mean=True)
-    return weekly.withColumn("agg_value", F.round("agg_value", 6)).orderBy("adm", "year", "week")
+    return weekly.withColumn("agg_value", F.round("agg_value", 6))
+
+
+@query
+def readings_without_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many readings no weekly result can hold; every other one is in ``weekly_sum`` or ``weekly_avg``."""
+    return analytics.untimed(weather(spark, sf_dir))
 
 
 @query

@@ -47,7 +47,7 @@ def read_zip_lines(spark: SparkSession, path: str, keep: Callable[[str], bool] =
 
 
 def _batches(archive: str, member: str, raw: IO[bytes]) -> Iterator[pd.DataFrame]:
-    text = io.TextIOWrapper(raw, encoding="utf-8")
+    text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
     start = 0
     while lines := [line.rstrip("\n") for line in islice(text, LINES_PER_BATCH)]:
         yield _frame(archive, member, start, lines)
@@ -84,8 +84,8 @@ def manifest_entries(manifest: DataFrame, date: Column) -> DataFrame:
 
 
 def pick_from_manifest(manifest: DataFrame, date: str) -> dict:
-    """The first manifest row of a date; raises where there is none."""
-    row = manifest_entries(manifest, F.lit(date)).first()
+    """The manifest row of a date that was modified first; raises where there is none."""
+    row = manifest_entries(manifest, F.lit(date)).orderBy(F.col("mtime").cast("long"), "filename", "link").first()
     if row is None:
         raise NotInManifest(f"no file last modified on {date}")
     return row.asDict()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from emberlake.functions import calendar, clean, stats
 from emberlake.operators import calendars
-from emberlake.plans import analytics, answers, catalog
+from emberlake.plans import analytics, answers, catalog, quality
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
@@ -105,6 +105,29 @@ def test_empty_weeks_have_count_zero_and_no_value(spark):
     assert {v for k, v in got.items() if k != "01-01"} == {(0, None)}
 
 
+def test_every_timed_reading_is_in_its_week(spark):
+    days = [datetime.datetime(2021, 1, 1) + datetime.timedelta(n) for n in range(365)] + [datetime.datetime(2020, 12, 31), None, None]
+    rows = [("a", "PRCP", 1, d, 0.0) for d in days]
+    weather = spark.createDataFrame(rows, "adm string, element string, value int, datetime timestamp, distance_from_station double")
+    got = analytics.weekly_readings(weather, "PRCP").groupBy("year").agg(F.sum("days_recorded").alias("n")).collect()
+    assert {r.year: r.n for r in got} == {2021: 365, 2020: 1}
+    assert tuple(analytics.untimed(weather).first()) == (368, 2)
+    fires = spark.createDataFrame([("p", None, "R", d) for d in days], "adm4_name string, adm7_name string, adm6_name string, datetime timestamp")
+    assert {r.month_name for r in analytics.monthly_fires(fires).collect()} == set(calendar.MONTH_NAMES)
+    wide = analytics.region_month_pivot(analytics.region_month_fires(fires)).collect()
+    assert sorted(r.year for r in wide) == [2020, 2021]
+    none = spark.range(1).select(calendar.week_label(F.lit(None).cast("date")).alias("w"), calendar.month_name_of(F.lit(None).cast("int")).alias("m"))
+    assert tuple(none.first()) == (None, None)
+
+
+def test_checks_without_a_true_result_fail(spark):
+    value = lambda rows: spark.createDataFrame(rows, "value int")
+    quality.enforce({"one": (value([(1,)]), 1)})
+    for rows in ([], [(None,)], [(0,)], [(1,), (0,)]):
+        with pytest.raises(quality.QualityError, match="bad"):
+            quality.enforce({"one": (value([(1,)]), 1), "bad": (value(rows), 1)})
+
+
 def test_groups_sharing_a_region_label_are_averaged(spark):
     when = datetime.datetime(2021, 3, 1)
     fires = spark.createDataFrame(
