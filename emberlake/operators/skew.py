@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 1_000_000  # rows of one key that a single task may take
-HOT_KEYS = 1000  # each key outside the list of the heaviest holds at most 1/1000 of the rows
+LIST_KEYS = 1_000_000  # a longer list of hot keys is joined with a shuffle
+NULL_PARTS = 256  # rows whose key is null match nothing and may go anywhere
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -29,13 +30,13 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def heavy_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys with the number of parts each should be cut into; at most ``HOT_KEYS`` rows.
+    """The keys of more than ``hot_rows`` rows with the number of parts each should be cut into.
 
-    Counting combines within the map tasks first, so a hot key reaches the reducer as one row per task.
+    Counting combines within the map tasks first, so a hot key reaches the reducer as one row per task. There
+    are at most as many hot keys as the rows have times ``hot_rows``.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    top = counted.orderBy(F.desc("_rows")).limit(HOT_KEYS)
-    return top.select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+    return counted.dropna(subset=keys).select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
 
 
 def _row_spread(df: DataFrame, parts: Column) -> Column:
@@ -45,9 +46,10 @@ def _row_spread(df: DataFrame, parts: Column) -> Column:
     separates exact copies of one row.
     """
     plain = [
-        field.name
+        F.to_json(F.struct(field.name))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
+        else F.col(field.name)
         for field in df.schema.fields
-        if not isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
     ]
     return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), parts).cast("int")
 
@@ -59,10 +61,13 @@ def salted_join(
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``, seen from ``many``.
     """
-    hot = F.broadcast(heavy_keys(many.select(*keys), keys, hot_rows))
+    hot = heavy_keys(many.select(*keys), keys, hot_rows)
+    if hot.count() <= LIST_KEYS:
+        hot = F.broadcast(hot)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
+    unmatched = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     cut = many.join(hot, keys, "left")
-    cut = cut.withColumn("_part", _row_spread(many, parts)).drop("_parts")
+    cut = cut.withColumn("_part", _row_spread(many, F.when(unmatched, NULL_PARTS).otherwise(parts))).drop("_parts")
     repeated = few.join(hot, keys, "left")
     repeated = repeated.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return cut.hint("merge").join(repeated.hint("merge"), [*keys, "_part"], how).drop("_part")

@@ -259,3 +259,17 @@ def test_hierarchy_with_hot_parent_salted(spark, lake):
     salted = hierarchy.relations(source, [2, 4], limit=0, hot_rows=1)
     assert rows(plain, *plain.columns) == rows(salted, *plain.columns)
     assert hierarchy.ancestor_columns(plain) == ["adm2", "adm2_name", "adm4", "adm4_name"]
+
+
+def test_every_hot_key_and_null_keys_are_cut(spark, monkeypatch):
+    from emberlake.operators import skew
+
+    rows = [(k, i) for k in ("a", "b", "c", "d", None) for i in range(40)] + [("e", 1)]
+    many = spark.createDataFrame(rows, "k string, i int")
+    few = spark.createDataFrame([("a", 1), ("b", 2), ("e", 3), (None, 4)], "k string, v int")
+    assert sorted(map(tuple, skew.heavy_keys(many, ["k"], 10).collect())) == [(k, 4) for k in "abcd"]
+    flat = lambda df: sorted(map(repr, df.select("k", "i", "v").collect()))
+    for listed in (skew.LIST_KEYS, 0):
+        monkeypatch.setattr(skew, "LIST_KEYS", listed)
+        for how in ("inner", "left"):
+            assert flat(skew.salted_join(many, few, ["k"], how, hot_rows=10)) == flat(many.join(few, "k", how))
