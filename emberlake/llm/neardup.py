@@ -108,18 +108,19 @@ class _Verifier:
 def _alike(part: pa.Table) -> pa.Table:
     """Pairs of one bucket whose signatures agree enough: own rows against all rows of other groups.
 
-    A pair that meets in several buckets is given by that of its first common band only.
+    A pair that meets in several buckets is given by that of its first common band only. Whole band keys decide
+    which that is: the sketch holds a byte of each place, and six equal bytes are no common bucket.
     """
     n = part.num_rows
     sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
     group = part["group"].combine_chunks().dictionary_encode().indices.to_numpy()
     own = np.flatnonzero(part["own"].to_numpy())
+    bands = part["bands"].combine_chunks().flatten().to_numpy().reshape(n, BANDS)
     band, classes = part["band"][0].as_py(), part["class"].to_pylist()
     left, right = [], []
     for i in own:
-        equal = sketch == sketch[i]
-        near = np.flatnonzero((equal.mean(axis=1) >= SKETCH_SHARE) & (group != group[i]))
-        first = equal[near].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
+        near = np.flatnonzero(((sketch == sketch[i]).mean(axis=1) >= SKETCH_SHARE) & (group != group[i]))
+        first = (bands[near] == bands[i]).argmax(axis=1)
         for j in near[first == band]:
             left.append(min(classes[i], classes[j]))
             right.append(max(classes[i], classes[j]))
@@ -154,11 +155,11 @@ def class_links(docs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame
     totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("main"))
     parts = F.ceil((F.col("n") - F.col("main.n")) / F.lit(PART_ROWS)).cast("int")
     open_buckets = totals.where("n > main.n").select("bucket", F.col("main.group").alias("main"), parts.alias("parts"))
-    dealt = grouped.join(open_buckets, "bucket").join(classes.select("class", "sketch"), "class")
+    dealt = grouped.join(open_buckets, "bucket").join(classes.select("class", "bands", "sketch"), "class")
     dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     mine = F.pmod(F.xxhash64("class"), F.col("parts")) == F.col("part")
     dealt = dealt.withColumn("own", (F.col("group") != F.col("main")) & mine)
-    alike = dealt.select("bucket", "part", "band", "class", "group", "sketch", "own").groupBy("bucket", "part")
+    alike = dealt.select("bucket", "part", "band", "class", "group", "bands", "sketch", "own").groupBy("bucket", "part")
     rest = alike.applyInArrow(_alike, "u binary, v binary").distinct().join(pairs, ["u", "v"], "left_anti")
     more = written(verifier.links(written(rest, "rest")), "links")
     return connected(links.unionByName(more)) if more.head() else labels

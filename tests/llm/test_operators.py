@@ -117,6 +117,23 @@ def test_parts_of_a_bucket_give_the_same_groups(spark, monkeypatch):
     assert sorted(map(tuple, neardup.near_duplicates(docs).select("doc_id", "component_id").collect())) == want
 
 
+def test_pair_whose_earlier_band_agrees_in_its_last_bytes_only_is_kept():
+    keys = np.arange(2 * neardup.BANDS, dtype=np.int64).reshape(2, neardup.BANDS)
+    keys[1, 3] = keys[0, 3]  # the one bucket both are in; all sketches are equal, those of bands 0 to 2 too
+    part = pa.table(
+        {
+            "bucket": [keys[0, 3]] * 2,
+            "band": [3, 3],
+            "class": pa.array([b"a", b"b"], pa.binary()),
+            "group": pa.array([b"a", b"b"], pa.binary()),
+            "bands": pa.array(keys.tolist(), pa.list_(pa.int64())),
+            "sketch": pa.array([bytes(neardup.BANDS * neardup.ROWS)] * 2, pa.binary()),
+            "own": [True, False],
+        }
+    )
+    assert neardup._alike(part).to_pylist() == [{"u": b"a", "v": b"b"}]
+
+
 def test_superminhash_estimates_with_less_spread_than_independent_hashes():
     random = np.random.default_rng(5)
     shares = []
