@@ -23,7 +23,7 @@ WIDTH = 5  # words of a shingle
 SIMILARITY = 85  # per cent
 BANDS, ROWS = 32, 6  # a pair at 85 % is missed with probability (1 - 0.85^6)^32 = 3e-7
 SKETCH_SHARE = 0.75  # equal places of two signatures from which on a pair is looked at exactly; 4 deviations below 0.85
-PART_ROWS = 2_000  # rows of a bucket that one task compares with all others of it
+PART_ROWS = 2_000  # rows of a bucket in one block, about; a group of a comparison holds two blocks
 
 
 def _sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, bytes]]:
@@ -106,7 +106,7 @@ class _Verifier:
 
 
 def _alike(part: pa.Table) -> pa.Table:
-    """Pairs of one bucket whose signatures agree enough: own rows against all rows of other groups.
+    """Pairs of two blocks of a bucket whose signatures agree enough: own rows against all rows of other groups.
 
     A pair that meets in several buckets is given by that of its first common band only. Whole band keys decide
     which that is: the sketch holds a byte of each place, and six equal bytes are no common bucket.
@@ -114,12 +114,13 @@ def _alike(part: pa.Table) -> pa.Table:
     n = part.num_rows
     sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
     group = part["group"].combine_chunks().dictionary_encode().indices.to_numpy()
-    own = np.flatnonzero(part["own"].to_numpy())
+    is_own = part["own"].to_numpy()
+    own, other = np.flatnonzero(is_own), np.flatnonzero(~is_own)
     bands = part["bands"].combine_chunks().flatten().to_numpy().reshape(n, BANDS)
     band, classes = part["band"][0].as_py(), part["class"].to_pylist()
     left, right = [], []
     for i in own:
-        near = np.flatnonzero(((sketch == sketch[i]).mean(axis=1) >= SKETCH_SHARE) & (group != group[i]))
+        near = other[((sketch[other] == sketch[i]).mean(axis=1) >= SKETCH_SHARE) & (group[other] != group[i])]
         first = (bands[near] == bands[i]).argmax(axis=1)
         for j in near[first == band]:
             left.append(min(classes[i], classes[j]))
@@ -127,14 +128,30 @@ def _alike(part: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(left, pa.binary()), "v": pa.array(right, pa.binary())})
 
 
+def blocks(rows: DataFrame) -> DataFrame:
+    """Rows of buckets dealt to (bucket, own_part, part): one block of own rows meets one block of all rows.
+
+    ``rows`` has bucket, band, class, group, bands, sketch, main (the bucket's largest group) and the numbers of
+    blocks own_parts and parts. Own are the rows outside the main group; each of them meets every row of its bucket
+    once, and no group has more than about two blocks of ``PART_ROWS``, whatever the bucket holds.
+    """
+    number = lambda parts: F.pmod(F.xxhash64("class"), F.col(parts)).cast("int")
+    every = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
+    place = lambda own, own_part, part: F.struct(own.alias("own"), own_part.alias("own_part"), part.alias("part"))
+    as_other = F.transform(every("own_parts"), lambda p: place(F.lit(False), p, number("parts")))
+    as_own = F.transform(every("parts"), lambda p: place(F.lit(True), number("own_parts"), p))
+    places = F.when(F.col("group") == F.col("main"), as_other).otherwise(F.concat(as_other, as_own))
+    return rows.select("bucket", "band", "class", "group", "bands", "sketch", F.inline(places))
+
+
 def class_links(docs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
     """(node, root): groups of classes linked by similarity, found without naming all pairs of a bucket.
 
     First each bucket's members are compared with its hub, the member that shares buckets with most others:
     the original of a group of copies is close to all of them. What a bucket then still holds of other groups
-    than its largest is compared with all the bucket by signature, a part of the rows in each task, and pairs
-    whose signatures agree on three quarters of the places are decided on the full sets. Pairs inside a group
-    need no look: they cannot change it.
+    than its largest is compared with all the bucket by signature, a block of the ones with a block of the others
+    at a time, and pairs whose signatures agree on three quarters of the places are decided on the full sets.
+    Pairs inside a group need no look: they cannot change it.
     """
     exploded = classes.select(F.posexplode("bands").alias("band", "bucket"), "class")
     sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -153,14 +170,16 @@ def class_links(docs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame
     grouped = written(named.select("bucket", "band", "class", F.coalesce("root", "class").alias("group")), "grouped")
     counts = grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("main"))
-    parts = F.ceil((F.col("n") - F.col("main.n")) / F.lit(PART_ROWS)).cast("int")
-    open_buckets = totals.where("n > main.n").select("bucket", F.col("main.group").alias("main"), parts.alias("parts"))
-    dealt = grouped.join(open_buckets, "bucket").join(classes.select("class", "bands", "sketch"), "class")
-    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    mine = F.pmod(F.xxhash64("class"), F.col("parts")) == F.col("part")
-    dealt = dealt.withColumn("own", (F.col("group") != F.col("main")) & mine)
-    alike = dealt.select("bucket", "part", "band", "class", "group", "bands", "sketch", "own").groupBy("bucket", "part")
-    rest = alike.applyInArrow(_alike, "u binary, v binary").distinct().join(pairs, ["u", "v"], "left_anti")
+    block_count = lambda n: F.ceil(n / F.lit(PART_ROWS)).cast("int")
+    open_buckets = totals.where("n > main.n").select(
+        "bucket",
+        F.col("main.group").alias("main"),
+        block_count(F.col("n") - F.col("main.n")).alias("own_parts"),
+        block_count(F.col("n")).alias("parts"),
+    )
+    dealt = blocks(grouped.join(open_buckets, "bucket").join(classes.select("class", "bands", "sketch"), "class"))
+    rest = dealt.groupBy("bucket", "own_part", "part").applyInArrow(_alike, "u binary, v binary").distinct()
+    rest = rest.join(pairs, ["u", "v"], "left_anti")
     more = written(verifier.links(written(rest, "rest")), "links")
     return connected(links.unionByName(more)) if more.head() else labels
 

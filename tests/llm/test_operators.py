@@ -117,6 +117,24 @@ def test_parts_of_a_bucket_give_the_same_groups(spark, monkeypatch):
     assert sorted(map(tuple, neardup.near_duplicates(docs).select("doc_id", "component_id").collect())) == want
 
 
+def test_a_large_bucket_is_compared_in_blocks(spark, monkeypatch):
+    base = [f"w{i}" for i in range(150)]
+    crowd = [[*base[:k], f"x{k}", *base[k + 1 :]] for k in range(10, 140)]
+    outside = [[*base[:110], *[f"y{k}_{i}" for i in range(40)]] for k in range(12)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(crowd + outside)], "doc_id long, text string")
+    want = [(i, 0 if i < len(crowd) else i) for i in range(len(crowd + outside))]
+    whole = neardup._alike
+
+    def alike(part):
+        assert part.num_rows <= 48, part.num_rows
+        return whole(part)
+
+    monkeypatch.setattr(neardup, "_alike", alike)
+    monkeypatch.setattr(neardup, "PART_ROWS", 8)
+    got = neardup.near_duplicates(docs).select("doc_id", "component_id")
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_pair_whose_earlier_band_agrees_in_its_last_bytes_only_is_kept():
     keys = np.arange(2 * neardup.BANDS, dtype=np.int64).reshape(2, neardup.BANDS)
     keys[1, 3] = keys[0, 3]  # the one bucket both are in; all sketches are equal, those of bands 0 to 2 too
