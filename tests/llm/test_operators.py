@@ -322,6 +322,22 @@ def test_fingerprints(odd, empty):
     assert alone.near_next == 1.0
 
 
+def test_fingerprints_of_repeated_rows(odd):
+    rows = fingerprint.fingerprints_of_rows(odd).collect()
+    assert len(rows) == len(ROWS) and len({tuple(r) for r in rows}) == len(ROWS) - 1
+
+
+def test_likeness_of_pairs_at_seven_tenths(spark):
+    pairs = 60
+    words = [(2 * p + side, p * 1000 + w) for p in range(pairs) for side in (0, 1) for w in range(30 * side, 30 * side + 170)]
+    words = spark.createDataFrame(words, "key long, word long").withColumn("word", F.xxhash64("word"))
+    prints = fingerprint.samples(words, ["key"])
+    even = prints.where("key % 2 = 0").select((F.col("key") + 1).alias("key"), F.col("fingerprint").alias("other"))
+    near = prints.join(even, "key").select(fingerprint.likeness(F.col("fingerprint"), F.col("other")).alias("near"))
+    errors = [r.near - 0.7 for r in near.collect()]
+    assert len(errors) == pairs and sum(e * e for e in errors) / pairs < 0.004
+
+
 def test_next_rows_across_ranges(spark):
     ids = spark.range(0, 500, 3).select(F.col("id").cast("string").alias("key"), "id")
     got = {int(r.key): int(r.next) for r in fingerprint.following(ids, ["id"], range_rows=20).collect()}
