@@ -21,7 +21,7 @@ SAMPLE = 20_000  # labelled documents the model learns from, at most
 ALPHA, BETA, L2 = 4.0, 1.0, 0.1
 L1 = 0.4  # times the root of the number of documents, as gradients of noise add up
 EPOCHS = 15
-LEAST_SHARE = 0.002
+LEAST_DOCUMENTS = 2  # a feature of one document alone says nothing of others
 RARE = 8.0  # most that a document of the rarer class weighs against one of the other
 BIAS = np.uint64(0)  # the feature every document has
 FOLDS = 5  # documents with remainder 0 are held out
@@ -52,14 +52,14 @@ def _distinct_features(texts: pa.ChunkedArray) -> list[np.ndarray]:
 def _fit(sample: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal over the documents in order; each feature counts once per document.
 
-    Features of fewer documents than two, or than a small share of the sample, are left out.
+    Features of one document only are left out; of the others L1 chooses.
     """
     labels = sample["label"].to_numpy().astype(float)
     hashes_of = _distinct_features(sample["text"])
     seen = np.concatenate([*hashes_of, np.zeros(0, np.uint64)])
     seen.sort()
     new = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])[: len(seen)])
-    common = seen[new[np.diff(np.append(new, len(seen))) >= max(2, LEAST_SHARE * len(labels))]]
+    common = seen[new[np.diff(np.append(new, len(seen))) >= LEAST_DOCUMENTS]]
     del seen
     # place 0 is the bias
     features_of = [1 + np.searchsorted(common, own[np.isin(own, common, assume_unique=True)]) for own in hashes_of]

@@ -363,6 +363,14 @@ def test_toxicity(spark, odd, empty):
     assert (again[0] == model[0]).all() and np.allclose(again[1], model[1])
 
 
+def test_toxic_word_of_few_documents_is_learned():
+    texts = [f"plain words here n{i % 50}" + (" vilest" if i % 600 == 0 else "") for i in range(3000)]
+    sample = pa.table({"label": [int(t.endswith("vilest")) for t in texts], "text": texts})
+    names, weights = toxicity._fit(sample)
+    word = toxicity.features(split_words(pa.array(["vilest"]), bare=True))[1][0]
+    assert weights[names == word].tolist() > [0.0]
+
+
 def test_language(spark, odd, empty):
     rows = [(i, t * 3, lang, None) for i in range(30) for lang, t in (("en", f"the house is here {i} "), ("de", f"das haus ist hier {i} "))]
     model = language.train(table(spark, rows))
