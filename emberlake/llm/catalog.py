@@ -1,4 +1,4 @@
-"""The registered queries of these operators, and the SQL that two of them must equal."""
+"""The registered queries of these operators, and the SQL that some of them must equal."""
 
 from __future__ import annotations
 
@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emberlake.llm import (
     decontaminate,
+    divergence,
     fingerprint,
     language,
     languagemodel,
     lines,
     maintext,
+    merkle,
     mixing,
     neardup,
     quality,
@@ -46,6 +48,13 @@ QUERIES: dict[str, Query] = {
         toxicity.op8_ftrl_toxicity,
         language.op9_ecoc_language,
         decontaminate.op10_spaced_seed_decontaminate,
+        merkle.op12_slot_merkle_manifest,
+        divergence.op13_quadtree_divergence,
     )
 }
-SQL: dict[str, str] = {"op3_site_line_dedup": lines.SQL, "op4_source_mix": mixing.SQL}
+SQL: dict[str, str] = {
+    "op3_site_line_dedup": lines.SQL,
+    "op4_source_mix": mixing.SQL,
+    "op12_slot_merkle_manifest": merkle.SQL,
+    "op13_quadtree_divergence": divergence.SQL,
+}
