@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlake.llm import (
+    countjoin,
     decontaminate,
     divergence,
     fingerprint,
@@ -48,6 +49,7 @@ QUERIES: dict[str, Query] = {
         toxicity.op8_ftrl_toxicity,
         language.op9_ecoc_language,
         decontaminate.op10_spaced_seed_decontaminate,
+        countjoin.op11_count_rtree_join,
         merkle.op12_slot_merkle_manifest,
         divergence.op13_quadtree_divergence,
     )
@@ -55,6 +57,7 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op3_site_line_dedup": lines.SQL,
     "op4_source_mix": mixing.SQL,
+    "op11_count_rtree_join": countjoin.SQL,
     "op12_slot_merkle_manifest": merkle.SQL,
     "op13_quadtree_divergence": divergence.SQL,
 }
