@@ -36,18 +36,55 @@ def flip(point: Column) -> Column:
     return F.struct(point["y"].alias("x"), point["x"].alias("y"))
 
 
+def _rings_of(wkt: Column, corner) -> Column:
+    texts = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+    return F.transform(texts, lambda ring: F.transform(F.split(ring, ","), corner))
+
+
+def _corner(text: Column) -> list[Column]:
+    parts = F.split(F.trim(text), r"\s+")
+    x, y = (F.try_element_at(parts, F.lit(n)).try_cast("double") for n in (1, 2))
+    return [x.alias("x"), y.alias("y"), (F.size(parts) > 2).alias("more")]
+
+
 def wkt_rings(wkt: Column) -> Column:
     """POLYGON / MULTIPOLYGON text to ``array<array<struct<x,y>>>``, one entry per ring."""
+    return _rings_of(wkt, lambda text: F.struct(*_corner(text)[:2]))
 
-    def vertex(text: Column) -> Column:
-        parts = F.split(F.trim(text), r"\s+")
-        return F.struct(
-            F.try_element_at(parts, F.lit(1)).try_cast("double").alias("x"),
-            F.try_element_at(parts, F.lit(2)).try_cast("double").alias("y"),
-        )
 
-    texts = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-    return F.transform(texts, lambda ring: F.transform(F.split(ring, ","), vertex))
+def wkt_corners(wkt: Column) -> Column:
+    """The same with ``more``, whether a corner has more than two numbers."""
+    return _rings_of(wkt, lambda text: F.struct(*_corner(text)))
+
+
+def area_fault(wkt: Column, rings: Column) -> Column:
+    """Why a text is no area, given its rings; null for an area that can be read in full.
+
+    In this order: ``no polygon`` (other or no text, brackets that do not match, no ring), ``unreadable number`` (a
+    corner that is not two finite numbers), ``short ring`` (fewer than four corners), ``open ring`` (the last corner
+    is not the first). One fault anywhere rejects the whole area: with a ring or an edge left out, even-odd
+    counting would place points wrongly.
+    """
+    # rings and then polygons are replaced by one sign each, and the commas between them dropped, so that the
+    # patterns repeat single signs only, whatever the number of rings
+    marked = F.regexp_replace(F.regexp_replace(wkt, r"\([^()]+\)", "#"), r"(?<=#)\s*,\s*(?=#)", "")
+    parts = F.regexp_replace(F.regexp_replace(marked, r"\(\s*#+\s*\)", "@"), r"(?<=@)\s*,\s*(?=@)", "")
+    polygon = marked.rlike(r"(?i)^\s*POLYGON\s*\(\s*#+\s*\)\s*$")
+    several = parts.rlike(r"(?i)^\s*MULTIPOLYGON\s*\(\s*@+\s*\)\s*$")
+    finite = lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False))
+    read = lambda ring: F.forall(ring, lambda c: finite(c["x"]) & finite(c["y"]) & ~c["more"])
+    return (
+        F.when(~F.coalesce(polygon | several, F.lit(False)) | (F.size(rings) == 0), F.lit("no polygon"))
+        .when(~F.forall(rings, read), F.lit("unreadable number"))
+        .when(F.exists(rings, lambda ring: F.size(ring) < 4), F.lit("short ring"))
+        .when(F.exists(rings, lambda ring: F.element_at(ring, 1) != F.element_at(ring, -1)), F.lit("open ring"))
+    )
+
+
+def checked_rings(wkt: Column) -> Column:
+    """``struct<fault, rings>`` of an area's text; the text is taken apart once."""
+    judged = lambda rings: F.struct(area_fault(wkt, rings).alias("fault"), rings.alias("rings"))
+    return F.transform(F.array(wkt_corners(wkt)), judged)[0]
 
 
 def ring_edges(rings: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Spatial joins as equi-joins on grid cells: containment, distance, nearest."""
+"""Spatial joins as equi-joins on grid cells: containment, distance; ranks with ties."""
 
 from __future__ import annotations
 
@@ -8,20 +8,32 @@ from pyspark.sql import functions as F
 from emberlake.functions import geo
 from emberlake.operators.skew import BROADCAST_BYTES, HOT_ROWS, salted_join
 from emberlake.operators.tiles import TilePlan, area_tiles, cell_of, plan_tiles, tile_covers
-from emberlake.session import settle, spread
+from emberlake.session import spread
 
 REACH = 50_000.0  # fixed value: projected metres
 TILE_COLUMNS = ("odd", "first", "second", "rest", "near")
-NEIGHBOURS = 3  # fixed value: stations kept per area, ties aside
 
 
 def area_edges(shapes: DataFrame, wkt: str = "geometry", key: str = "id") -> DataFrame:
     """Areas in the form the joins take: ``shape_id`` and ``edges``, from WKT text.
 
-    Texts differ in length by orders of magnitude, so they are spread before they are taken apart.
+    An area that cannot be read in full is left out, so that it never matches; ``rejected_areas`` names the
+    fault. Texts differ in length by orders of magnitude, so they are spread before they are taken apart.
     """
     texts = spread(shapes.select(F.col(key).alias("shape_id"), F.col(wkt).alias("_wkt")), "shape_id")
-    return texts.select("shape_id", geo.wkt_edges(F.col("_wkt")).alias("edges"))
+    edges = F.transform(
+        F.array(geo.checked_rings(F.col("_wkt"))),
+        lambda area: F.when(area["fault"].isNull(), geo.ring_edges(area["rings"])),
+    )
+    # a filter on a generated column stays above the parsing, which then runs once
+    return texts.select("shape_id", F.explode_outer(edges).alias("edges")).where("edges IS NOT NULL")
+
+
+def rejected_areas(shapes: DataFrame, wkt: str = "geometry", key: str = "id") -> DataFrame:
+    """``shape_id, fault`` of the areas the joins leave out; a missing text is a fault too."""
+    texts = spread(shapes.select(F.col(key).alias("shape_id"), F.col(wkt).alias("_wkt")), "shape_id")
+    faults = F.explode_outer(F.array(geo.checked_rings(F.col("_wkt"))["fault"])).alias("fault")
+    return texts.select("shape_id", faults).where("fault IS NOT NULL")
 
 
 def _with_tiles(
@@ -85,15 +97,21 @@ def distance_join(
 
 
 def nearest_with_ties(
-    pairs: DataFrame, group: str, value: str, k: int, rank: str = "rank", hot_rows: int = HOT_ROWS
+    pairs: DataFrame,
+    group: str,
+    value: str,
+    k: int,
+    rank: str = "rank",
+    hot_rows: int = HOT_ROWS,
+    copies: Column | None = None,
 ) -> DataFrame:
     """Rows whose rank by ``value`` within ``group`` is at most k, ties sharing a rank.
 
-    Equal values are counted before anything is gathered by group, and no more than k distinct values per
-    group pass the window, so a group of any size is ranked without bringing its rows together.
+    Equal values are counted (``copies`` of each row, one by default) before anything is gathered by group, and no
+    more than k distinct values per group pass the window, so a group of any size is ranked without bringing its
+    rows together. The k steps of a group are joined back by group alone.
     """
-    pairs = settle(pairs)
-    steps = pairs.groupBy(group, value).agg(F.count(F.lit(1)).alias("_ties"))
+    steps = pairs.groupBy(group, value).agg(F.sum(F.lit(1) if copies is None else copies).alias("_ties"))
     ordered = Window.partitionBy(group).orderBy(value)
     closer = F.sum("_ties").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     ranks = (
@@ -101,14 +119,10 @@ def nearest_with_ties(
         .where(F.col("_step") <= k)
         .withColumn(rank, (F.coalesce(closer, F.lit(0)) + 1).cast("int"))
         .where(F.col(rank) <= k)
-        .select(group, value, rank)
+        .groupBy(group)
+        .agg(F.collect_list(F.struct(F.col(value).alias("from"), F.col(rank).alias("rank"))).alias("_steps"))
     )
-    return salted_join(pairs, ranks, [group, value], hot_rows=hot_rows)
-
-
-def nearest_points(
-    points: DataFrame, areas: DataFrame, k: int = NEIGHBOURS, reach: float = REACH, **options
-) -> DataFrame:
-    """For each area the points within reach whose distance ranks among the k smallest."""
-    pairs = distance_join(points, areas, reach, **options)
-    return nearest_with_ties(pairs, "shape_id", "distance", k, "station_rank", options.get("hot_rows", HOT_ROWS))
+    reached = F.filter("_steps", lambda step: step["from"] <= F.col(value))
+    last = F.array_max(F.transform("_steps", lambda step: step["from"]))
+    joined = salted_join(pairs, ranks, [group], hot_rows=hot_rows).where(F.col(value) <= last)
+    return joined.withColumn(rank, F.array_max(F.transform(reached, lambda step: step["rank"]))).drop("_steps")

@@ -137,6 +137,39 @@ SQL["nearest_k_stations"] = (
 )
 SQL["stations_table"] = f"WITH {DISTANCE} SELECT * FROM linked"
 
+SQL["nearest_k_of_tied_stations"] = f"""
+WITH {GEOMETRY},
+metre_edge AS (
+  SELECT adm, {_mx('x1')} AS x1, {_my('y1')} AS y1, {_mx('x2')} AS x2, {_my('y2')} AS y2 FROM city_edge),
+metre_box AS (SELECT adm, MIN(LEAST(x1, x2)) AS bx0, MIN(LEAST(y1, y2)) AS by0, MAX(GREATEST(x1, x2)) AS bx1,
+                     MAX(GREATEST(y1, y2)) AS by1 FROM metre_edge GROUP BY adm),
+place AS (SELECT id, {_mx('CAST(longitude AS DOUBLE)')} AS x, {_my('CAST(latitude AS DOUBLE)')} AS y
+          FROM {_view(b.TIED_STATIONS)} s),
+along AS (
+  SELECT id, adm, x, y, x1, y1, x2, y2,
+         GREATEST(0, LEAST(1, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1))
+                              / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) AS t
+  FROM place JOIN metre_box ON x BETWEEN bx0 - 50001 AND bx1 + 50001 AND y BETWEEN by0 - 50001 AND by1 + 50001
+  JOIN metre_edge USING (adm)),
+apart AS (
+  SELECT id, adm,
+         CASE WHEN SUM(CASE WHEN (y1 > y) <> (y2 > y) AND x1 + (y - y1) * (x2 - x1) / (y2 - y1) < x
+                            THEN 1 ELSE 0 END) % 2 = 1 THEN 0.0
+              ELSE MIN(SQRT(POW(x - x1 - t * (x2 - x1), 2) + POW(y - y1 - t * (y2 - y1), 2))) END AS distance
+  FROM along GROUP BY id, adm)
+SELECT id, adm, ROUND(distance, 3) AS distance, station_rank
+FROM (SELECT *, CAST(RANK() OVER (PARTITION BY adm ORDER BY distance) AS INT) AS station_rank
+      FROM apart WHERE distance <= 50000) r
+WHERE station_rank < 4"""
+
+_FAULT = " ".join(f"WHEN {n} THEN '{fault}'" for n, fault in b.FAULTS.items())
+SQL["shape_rejects"] = f"""
+SELECT 'c' || c_custkey AS id, 8 AS adm, CASE c_custkey % 8 {_FAULT} END AS fault FROM customer WHERE c_custkey % 8 <> 0"""
+SQL["points_in_readable_areas"] = f"""
+WITH {GEOMETRY}
+SELECT event_id, adm FROM spot JOIN city_box ON x BETWEEN bx0 AND bx1 AND y BETWEEN by0 AND by1
+WHERE CAST(SUBSTR(adm, 2) AS BIGINT) % 8 = 0"""
+
 CLEAN_WEATHER = f"""
 SELECT station, element, measurement_flag, quality_flag, source_flag, CAST(value AS INT) AS value, datetime,
        CAST(YEAR(datetime) AS INT) AS year, CAST(MONTH(datetime) AS INT) AS month

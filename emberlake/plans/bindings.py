@@ -81,6 +81,22 @@ SELECT 'c' || CAST(k AS STRING), 8, c_name,
                   ELSE 'SRID=4326;' || {_multipolygon(RINGS[3])} END
 FROM (SELECT *, {OFFSETS} FROM ({AREA_BOXES}) a) tx JOIN {{nation}} ON c_nationkey = n_nationkey"""
 
+_OPEN = ring_text(BOX).rsplit(" || ',' || ", 1)[0] + " || ')'"
+_SHORT = ring_text([(0, 0), (12, 0)])
+# areas of which one in eight can be read; the others have one fault each
+BROKEN_AREAS = f"""
+SELECT 'c' || CAST(k AS STRING) AS osm_id, 8 AS admin_level, c_name AS name, CAST(NULL AS STRING) AS parents,
+       CASE k % 8 WHEN 0 THEN 'SRID=4326;' || {_polygon([BOX])}
+                  WHEN 1 THEN 'POLYGON(' || {_OPEN} || ')'
+                  WHEN 2 THEN {_polygon([BOX])[:-len(" || ')'")]} || ',' || {_SHORT} || ')'
+                  WHEN 3 THEN 'POLYGON((n/a 0,' || tx.xt12 || ' 0,0 ' || tx.yt12 || ',n/a 0))'
+                  WHEN 4 THEN 'POLYGON EMPTY'
+                  WHEN 5 THEN NULL
+                  WHEN 6 THEN {_polygon([BOX])[:-len(" || ')'")]}
+                  ELSE 'MULTIPOLYGON((' || {ring_text(BOX)} || '),(' || {_OPEN} || '))' END AS geom
+FROM (SELECT *, {OFFSETS} FROM ({AREA_BOXES}) a) tx"""
+FAULTS = {1: "open ring", 2: "short ring", 3: "unreadable number", 4: "no polygon", 5: "no polygon", 6: "no polygon", 7: "open ring"}
+
 # detections as text, with both time spellings, an unpadded one and unreadable numbers
 SOURCE_FIRES = f"""
 SELECT event_id,
@@ -115,6 +131,13 @@ SELECT 's' || CAST(s_suppkey AS STRING) AS id, s_name AS name, CAST(s_acctbal AS
        {_text(_hundredths('s_suppkey', 27449, 5000, 2500))} AS latitude
 FROM {{supplier}}"""
 
+# many stations around the origin, three at each place
+TIED_STATIONS = f"""
+SELECT 'e' || CAST(event_id AS STRING) AS id, event_type AS name, CAST(value AS STRING) AS elevation,
+       {_text("CAST((p * 7919) % 7993 * 10 + 3 - 40000 AS DOUBLE) / 10000")} AS longitude,
+       {_text("CAST((p * 104729) % 7963 * 10 + 3 - 40000 AS DOUBLE) / 10000")} AS latitude
+FROM (SELECT *, CAST(FLOOR(event_id / 3) AS BIGINT) AS p FROM {{events}}) e"""
+
 # the same stations as lines of fixed width
 STATION_LINES = f"""
 SELECT RPAD(id, 11, ' ') || ' ' || LPAD(latitude, 8, ' ') || ' ' || LPAD(longitude, 9, ' ') || ' '

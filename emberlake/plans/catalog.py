@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.functions import calendar, clean, geo
-from emberlake.operators import hierarchy, spatial
+from emberlake.operators import hierarchy, nearest, spatial
 from emberlake.plans import analytics, bindings, jobs, quality
 from emberlake.session import shared_folder, tune
 from emberlake.sources import archive, readers, sinks
@@ -119,7 +119,7 @@ def areas_within_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def nearest_k_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = spatial.nearest_points(
+    linked = nearest.nearest_points(
         station_points(spark, sf_dir), spatial.area_edges(shapes_at(areas(spark, sf_dir)))
     )
     return linked.select(
@@ -127,6 +127,30 @@ def nearest_k_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def nearest_k_of_tied_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest stations where an area has a hundred and more within reach, three at each place."""
+    many = jobs.clean_stations(bindings.view(spark, sf_dir, bindings.TIED_STATIONS))
+    linked = nearest.nearest_points(many, spatial.area_edges(shapes_at(areas(spark, sf_dir))))
+    return linked.select(
+        "id", F.col("shape_id").alias("adm"), F.round("distance", 3).alias("distance"), "station_rank"
+    )
+
+
+@query
+def shape_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The areas that cannot be read in full, each with its fault."""
+    return jobs.rejected_shapes(bindings.view(spark, sf_dir, bindings.BROKEN_AREAS))
+
+
+@query
+def points_in_readable_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containment among areas most of which are broken: these match nothing, whatever is left of them."""
+    shapes = shapes_at(bindings.view(spark, sf_dir, bindings.BROKEN_AREAS))
+    located = spatial.contains_join(detections(spark, sf_dir), spatial.area_edges(shapes))
+    return located.select("event_id", F.col("shape_id").alias("adm"))
+
+
 @query
 def stations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The station table as the job writes it."""
@@ -163,15 +187,13 @@ def distance_to_home_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     cities = jobs.shapes_table(source)
     corners = readers.at_level(cities, 8).select("id", geo.wkt_rings(F.col("geometry"))[0][0].alias("corner"))
     homes = relations_at(source).select("id", F.col("adm4"))
-    states = readers.at_level(cities, 4).select(
-        F.col("id").alias("adm4"), geo.mercator_edges(geo.wkt_edges(F.col("geometry"))).alias("edges")
-    )
-    x, y = geo.mercator_x(F.col("corner.x")), geo.mercator_y(F.col("corner.y"))
-    return (
-        corners.join(homes, "id")
-        .join(states, "adm4")
-        .select("id", "adm4", F.round(geo.distance(F.col("edges"), x, y), 3).alias("distance"))
+    states = spatial.area_edges(readers.at_level(cities, 4))
+    placed = corners.join(homes, "id").select(
+        "id", F.col("adm4").alias("shape_id"),
+        geo.mercator_x(F.col("corner.x")).alias("mx"), geo.mercator_y(F.col("corner.y")).alias("my"),
     )
+    found = nearest.distance_to(placed, states, ["id"])
+    return found.select("id", F.col("shape_id").alias("adm4"), F.round("distance", 3).alias("distance"))
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.functions import clean, geo
-from emberlake.operators import hierarchy, spatial
+from emberlake.operators import hierarchy, nearest, spatial
 from emberlake.operators.skew import dimension_join
 from emberlake.sources import readers, sinks
 
@@ -27,6 +27,13 @@ def shapes_table(source: DataFrame) -> DataFrame:
     )
 
 
+def rejected_shapes(source: DataFrame) -> DataFrame:
+    """``id, adm, fault`` of the areas no join can use; they stay in the table of shapes as they came."""
+    shapes = shapes_table(source)
+    faults = spatial.rejected_areas(shapes).withColumnRenamed("shape_id", "id")
+    return shapes.select("id", "adm").join(faults, "id")
+
+
 def build_shapes(
     spark: SparkSession, source: str, shapes: str, relations: str, levels: Sequence[int] | None = None
 ) -> None:
@@ -68,7 +75,7 @@ def clean_stations(raw: DataFrame) -> DataFrame:
 
 def stations_table(stations: DataFrame, shapes: DataFrame, relations: DataFrame, **options) -> DataFrame:
     """Stations (``id, name, elevation, x, y``) with the areas they are among the nearest to."""
-    linked = spatial.nearest_points(stations, spatial.area_edges(shapes), **options)
+    linked = nearest.nearest_points(stations, spatial.area_edges(shapes), **options)
     named = with_ancestors(linked, relations)
     return named.select(
         "id",

@@ -64,16 +64,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write an expensive intermediate result once when several later steps read it.
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result that several later steps read, and read it back.
 
-    Uses a reliable checkpoint, so a lost executor costs no recomputation. Without a configured
-    folder the frame is returned as it is.
+    It is computed once, a lost executor costs no recomputation, and Spark knows its size.
     """
-    spark = df.sparkSession
-    folder = _configured_folder(spark)
-    if folder is None:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from emberlake.functions import geo
-from emberlake.operators import spatial
+from emberlake.operators import nearest, spatial
 from emberlake.operators.tiles import area_tiles, plan_tiles
 
 HOLED = [[(0, 0), (9, 0), (9, 9), (0, 9)], [(2, 2), (6, 3), (5, 7), (2, 5)]]
@@ -117,11 +117,61 @@ def test_unreadable_and_empty_shapes_do_no_harm(spark):
     texts = ["POLYGON((0 0,4 0,4 4,0 4,0 0))", "POLYGON((0 0,x 0,4 y,0 4,0 0))", "POLYGON EMPTY", None]
     shapes = spark.createDataFrame(list(enumerate(texts)), "id int, geometry string")
     spots = spark.createDataFrame([(0, 1.0, 1.0), (1, 5.0, 1.0)], "pid long, x double, y double")
-    got = spatial.contains_join(spots, spatial.area_edges(shapes)).where("shape_id != 1")
-    assert found(got) == {(0, 0)}
-    near = spatial.distance_join(spots, spatial.area_edges(shapes), reach=200_000.0).where("shape_id != 1")
-    assert found(near) == {(0, 0), (1, 0)}
-    assert spatial.contains_join(spots, spatial.area_edges(shapes.where("id > 1"))).count() == 0
+    assert found(spatial.contains_join(spots, spatial.area_edges(shapes))) == {(0, 0)}
+    assert found(spatial.distance_join(spots, spatial.area_edges(shapes), reach=200_000.0)) == {(0, 0), (1, 0)}
+    broken = spatial.area_edges(shapes.where("id > 0"))
+    assert broken.count() == 0
+    assert spatial.contains_join(spots, broken).count() == spatial.distance_join(spots, broken).count() == 0
+    assert nearest.nearest_points(spots, broken).count() == 0
+
+
+FAULTS = {
+    "POLYGON((0 0,4 0,4 4,0 4,0 0))": None,
+    " polygon ( (0 0, 4 0, 4 4, 0 0) , (1 1,2 1,2 2,1 1) ) ": None,
+    "MULTIPOLYGON(((0 0,4 0,4 4,0 0)),((6 6,9 6,9 9,6 6),(7 6.5,8 6.5,8 7,7 6.5)))": None,
+    "POLYGON((0 0,1e1 0,1 -1.5,0 0))": None,
+    None: "no polygon",
+    "": "no polygon",
+    "POLYGON EMPTY": "no polygon",
+    "POINT (1 2)": "no polygon",
+    "POLYGON()": "no polygon",
+    "POLYGON((0 0,4 0,4 4,0 0)": "no polygon",
+    "POLYGON((0 0,4 0,4 4,0 0)))": "no polygon",
+    "POLYGON(0 0,4 0,4 4,0 0)": "no polygon",
+    "POLYGON((0 0,4 0,4 4,0 0) (1 1,2 1,2 2,1 1))": "no polygon",
+    "MULTIPOLYGON((0 0,4 0,4 4,0 0))": "no polygon",
+    "POLYGON(())": "no polygon",
+    "POLYGON((0 0,4 0,4 4,0 0),())": "no polygon",
+    "POLYGON((0 0,x 0,4 4,0 0))": "unreadable number",
+    "POLYGON((0 0,NaN 0,4 4,0 0))": "unreadable number",
+    "POLYGON((0 0,Infinity 0,4 4,0 0))": "unreadable number",
+    "POLYGON((0 0,4,4 4,0 0))": "unreadable number",
+    "POLYGON((0 0 1,4 0 1,4 4 1,0 0 1))": "unreadable number",
+    "POLYGON((0 0,4 0,0 0))": "short ring",
+    "POLYGON((0 0,4 0,4 4,0 0),(1 1,1 1))": "short ring",
+    "POLYGON((0 0,4 0,4 4,0 4))": "open ring",
+    "MULTIPOLYGON(((0 0,4 0,4 4,0 0)),((6 6,9 6,9 9,6 7)))": "open ring",
+}
+
+
+def test_faults_of_areas(spark):
+    shapes = spark.createDataFrame(list(enumerate(FAULTS)), "id int, geometry string")
+    got = {r.shape_id: r.fault for r in spatial.rejected_areas(shapes).collect()}
+    assert got == {i: fault for i, fault in enumerate(FAULTS.values()) if fault}
+    assert {r.shape_id for r in spatial.area_edges(shapes).collect()} == {i for i, f in enumerate(FAULTS.values()) if not f}
+
+
+def test_an_area_of_very_many_rings_is_judged(spark):
+    rings = ",".join(f"({i} 0,{i} 1,{i + 1} 1,{i} 0)" for i in range(60_000))
+    texts = [f"POLYGON({rings})", f"MULTIPOLYGON(({rings.replace('),(', ')),((')}))", f"POLYGON({rings},(0 0,1 1,2 2,0 1))"]
+    shapes = spark.createDataFrame(list(enumerate(texts)), "id int, geometry string")
+    assert {r.shape_id: r.fault for r in spatial.rejected_areas(shapes).collect()} == {2: "open ring"}
+
+
+def test_areas_are_parsed_once(spark):
+    shapes = spark.range(3).selectExpr("id", "'POLYGON((0 0,4 0,4 4,0 4,0 0))' AS geometry")
+    plan = spatial.area_edges(shapes)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Filter") == 1 and plan.index("Filter isnotnull(edges") < plan.index("Generate explode")
 
 
 def test_tiles_hold_only_nearby_edges(spark):
@@ -224,3 +274,69 @@ def test_sql_functions(spark):
     ).first()
     assert (row.p, row.s, row.t, row.n) == ("POINT (1.5 2.0)", "POINT (1 2)", "POINT (1 2)", 2)
     assert math.isclose(row.l, 12.5)
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 0, "hot_rows": 20, "cell": 262144.0}])
+def test_nearest_equals_ranking_every_pair(spark, options, monkeypatch):
+    monkeypatch.setattr(nearest, "EDGES", 4)
+    random_ = random.Random(4)
+    polygons = [[star(random_, random_.choice([3, 9, 60]), random_.choice([0.05, 0.5, 6]))] for _ in range(40)]
+    points = [(random_.uniform(-22, 22), random_.uniform(-22, 22)) for _ in range(900)]
+    points += points[:200] + points[:100] + [(polygons[3][0][0][0], polygons[3][0][0][1])] * 5
+    spots, areas = frames(spark, polygons, points)
+    spots = spots.withColumn("note", F.when(F.col("pid") % 2 == 0, "n"))
+    metres = areas.select("shape_id", geo.mercator_edges(F.col("edges")).alias("edges"))
+    apart = geo.distance(F.col("edges"), geo.mercator_x(F.col("x")), geo.mercator_y(F.col("y")))
+    every = spots.crossJoin(metres).select("pid", "shape_id", apart.alias("distance")).where("distance <= 50000")
+    ranks = every.selectExpr("*", "rank() over (partition by shape_id order by distance) AS station_rank").where("station_rank <= 3")
+    want = {(r.pid, r.shape_id): (r.station_rank, r.distance) for r in ranks.collect()}
+    rows = nearest.nearest_points(spots.repartition(3), areas, **options).collect()
+    got = {(r.pid, r.shape_id): (r.station_rank, r.distance) for r in rows}
+    assert len(rows) == len(got) and {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(math.isclose(got[k][1], want[k][1], rel_tol=1e-12, abs_tol=1e-6) for k in want)
+    assert len(want) > 150 and len({v[0] for v in want.values()}) == 3
+
+
+def test_few_pairs_are_measured_exactly(spark):
+    """Many areas with two hundred places within reach each: the bounds decide on nearly all pairs."""
+    random_ = random.Random(8)
+    polygons = [[[(x, y), (x + 0.02, y), (x, y + 0.02)]] for x, y in ((random_.uniform(-1, 1), random_.uniform(-1, 1)) for _ in range(50))]
+    points = [(random_.uniform(-2, 2), random_.uniform(-2, 2)) for _ in range(4000)]
+    spots, areas = frames(spark, polygons, points)
+    pairs, near = nearest.candidates(spots, nearest.metre_edges(areas))
+    n_pairs, n_near = pairs.count(), near.count()
+    assert n_pairs > 50 * 150 and n_near < 0.1 * n_pairs
+    plan = near._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_bounds_hold(spark):
+    random_ = random.Random(6)
+    polygons = [[star(random_, random_.choice([3, 9]), random_.choice([0.5, 6]))] for _ in range(30)]
+    points = [(random_.uniform(-30, 30), random_.uniform(-30, 30)) for _ in range(100)]
+    spots, areas = frames(spark, polygons, points)
+    metres = nearest.metre_edges(areas).select("*", *nearest.box_of(F.col("edges")))
+    x, y = geo.mercator_x(F.col("x")), geo.mercator_y(F.col("y"))
+    pairs = spots.crossJoin(metres).select(
+        nearest.box_distance(x, y).alias("near"), nearest.outline_within(x, y).alias("far"),
+        geo.outline_distance(F.col("edges"), x, y).alias("outline"), geo.distance(F.col("edges"), x, y).alias("distance"),
+    )
+    assert pairs.where("near > distance + 1e-6 or far < outline - 1e-6").count() == 0 and pairs.where("near > 0").count() > 100
+
+
+def test_distance_to_own_area_of_many_edges(spark):
+    """One area of 5,000 edges and many points: no row carries the whole outline."""
+    turns = [2 * math.pi * i / 5000 for i in range(5000)]
+    ring_ = [(10 * math.cos(t) + 1e-3 * (i % 7), 10 * math.sin(t)) for i, t in enumerate(turns)]
+    _, areas = frames(spark, [[ring_]], [])
+    random_ = random.Random(2)
+    rows = [(i, "0", random_.uniform(-2e6, 2e6), random_.uniform(-2e6, 2e6)) for i in range(300)]
+    points = spark.createDataFrame(rows, "pid long, shape_id string, mx double, my double")
+    metres = nearest.metre_edges(areas)
+    assert metres.select(F.max(F.size("edges"))).first()[0] == 5000
+    assert nearest.outline_rows(metres).agg(F.max(F.size("edges"))).first()[0] == nearest.EDGES
+    every = points.join(metres, "shape_id").select("pid", geo.distance(F.col("edges"), F.col("mx"), F.col("my")).alias("d"))
+    want = {r.pid: r.d for r in every.collect()}
+    got = {r.pid: r.distance for r in nearest.distance_to(points, areas, ["pid"], hot_rows=40).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], abs_tol=1e-6) for i in want)
+    assert 0 < sum(d == 0 for d in got.values()) < 300
