@@ -443,6 +443,9 @@ FROM {SOURCE_FIRES} s"""
 SQL["landed_fires"] = f"""
 SELECT longitude, latitude, brightness AS bright_ti4, bright_t31 AS bright_ti5, confidence, acq_date, acq_time
 FROM {SOURCE_FIRES} s"""
+SQL["landed_fires_in_one_folder"] = SQL["landed_fires"]
+SQL["landed_members"] = f"""
+SELECT 'third-' || (event_id % 3) AS member, event_id, longitude, latitude FROM {SOURCE_FIRES} s"""
 SQL["landed_weather"] = f"SELECT * FROM {SOURCE_WEATHER} s"
 SQL["dynamic_overwrite_roundtrip"] = f"""
 SELECT fire_id, adm, CASE WHEN year = 1997 THEN 1 ELSE 0 END AS load, year, month FROM {_DATED}"""

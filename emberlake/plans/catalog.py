@@ -15,6 +15,7 @@ from emberlake.operators import hierarchy, nearest, spatial
 from emberlake.plans import analytics, bindings, jobs, quality
 from emberlake.session import shared_folder, tune
 from emberlake.sources import archive, readers, sinks
+from emberlake.sources.files import store_of
 from emberlake.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -519,6 +520,58 @@ def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def landed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections packed into archive files, read member by member, landed as one gzip text per member, read back."""
+    folder = shared_folder(spark, "archives")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, batch in enumerate(batches):
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as opened:
+                for rest, rows in batch.groupby(batch.event_id % 3):
+                    text = rows.to_csv(index=False, header=False, lineterminator="\n")
+                    opened.writestr(f"fires/third-{rest}.csv", text)
+                opened.writestr("fires/readme.txt", "not data\n")
+            name = f"{folder}/batch-{batch.event_id.min()}-{number}.zip"
+            store, path, _ = store_of(name)
+            store.create_dir(path.rpartition("/")[0])
+            with store.open_output_stream(path) as out:
+                out.write(held.getvalue())
+            yield pd.DataFrame({"path": [name]})
+
+    rows = bindings.view(spark, sf_dir, bindings.SOURCE_FIRES).select("event_id", "longitude", "latitude")
+    rows.mapInPandas(pack, "path string").write.format("noop").mode("overwrite").save()
+    lines = archive.read_zip_lines(spark, f"{folder}/batch-*.zip", lambda member: member.endswith(".csv"))
+    stem = lambda c: clean.file_stem(clean.base_name(F.col(c)))
+    archive.land_members(lines, f"{folder}/landed", F.concat(stem("archive"), F.lit("_"), stem("member")))
+    fields = F.split("value", ",")
+    return spark.read.text(f"{folder}/landed").select(
+        F.substring_index("file", "_", -1).alias("member"),
+        fields[0].cast("bigint").alias("event_id"),
+        fields[1].alias("longitude"),
+        fields[2].alias("latitude"),
+    )
+
+
+@query
+def landed_fires_in_one_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip CSV of two instruments, one of them with its columns in another order as well, in one folder."""
+    raw = bindings.view(spark, sf_dir, bindings.SOURCE_FIRES).drop("event_id")
+    folder = shared_folder(spark, "mixed")
+    variant = F.col("confidence") == "error"
+    renamed = raw.where(~variant).withColumnsRenamed({"brightness": "bright_ti4", "bright_t31": "bright_ti5"})
+    late = F.col("acq_date") >= "1998-01-01"
+    for name, part in (
+        ("one", raw.where(variant)),
+        ("two", renamed.where(late)),
+        ("three", renamed.where(~late).select(*reversed(renamed.columns))),
+    ):
+        sinks.land_csv(part, f"{folder}/{name}")
+    unified = readers.read_fires(spark, f"{folder}/*")
+    return unified.select("longitude", "latitude", "bright_ti4", "bright_ti5", "confidence", "acq_date", "acq_time")
+
+
 @query
 def landed_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip CSV of two instruments with different headers, written, read back and unified."""

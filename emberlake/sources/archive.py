@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from itertools import islice
 from typing import IO
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from emberlake.functions.clean import file_stem
+from emberlake.sources.files import listed, opened
 
 LINES_PER_BATCH = 20_000
+TASK_BYTES = 64 << 20  # unpacked bytes of the small members that share one task
+LISTED_AT_ONCE = 16  # archives whose directories are read side by side
+LINES = "archive string, member string, line_no long, line string"
 
 
 def is_file(member: str) -> bool:
@@ -41,9 +51,81 @@ def zip_lines(files: DataFrame, keep: Callable[[str], bool] = is_file) -> DataFr
     )
 
 
-def read_zip_lines(spark: SparkSession, path: str, keep: Callable[[str], bool] = is_file) -> DataFrame:
-    """``zip_lines`` of landed archives."""
-    return zip_lines(spark.read.format("binaryFile").load(path), keep)
+@dataclass
+class Members(InputPartition):
+    """Members of archives that one task reads, one after another: (archive, member)."""
+
+    members: tuple[tuple[str, str], ...]
+
+
+class ZipLinesReader(DataSourceReader):
+    def __init__(self, paths: Sequence[str], keep: Callable[[str], bool], task_bytes: int) -> None:
+        self.paths, self.keep, self.task_bytes = paths, keep, task_bytes
+
+    def members(self) -> list[tuple[int, str, str]]:
+        """(unpacked bytes, archive, member), from the directories at the end of the archives alone."""
+
+        def directory(archive: str) -> list[tuple[int, str, str]]:
+            with opened(archive) as raw, zipfile.ZipFile(raw) as held:
+                return [(m.file_size, archive, m.filename) for m in held.infolist() if is_file(m.filename)]
+
+        archives = [found.path for found in listed(self.paths) if found.path.endswith(".zip")]
+        with ThreadPoolExecutor(LISTED_AT_ONCE) as pool:
+            found = [m for members in pool.map(directory, archives) for m in members]
+        return [m for m in found if self.keep(m[2])]
+
+    def partitions(self) -> list[Members]:
+        """A large member is a task of its own, small ones share tasks, in order of size."""
+        tasks: list[list[tuple[str, str]]] = []
+        filled = self.task_bytes
+        for size, archive, member in sorted(self.members(), reverse=True):
+            if filled + size > self.task_bytes:
+                tasks.append([])
+                filled = 0
+            tasks[-1].append((archive, member))
+            filled += size
+        return [Members(tuple(task)) for task in tasks] or [Members(())]
+
+    def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
+        for archive, member in partition.members:
+            with opened(archive) as raw, zipfile.ZipFile(raw) as held, held.open(member) as stream:
+                for batch in _batches(archive, member, stream):
+                    yield pa.RecordBatch.from_pandas(batch, preserve_index=False)
+
+
+class ZipLines(DataSource):
+    """Spark data source ``zip_lines``: lines of the members of zip archives, ``archive, member, line_no, line``.
+
+    A path is a file, a folder (searched with its subfolders) or a glob. A task reads one large member, or several
+    small ones, as a stream from where the archive lies: neither an archive nor a member is ever whole in memory, and
+    an archive's members are read side by side. A lost task reads its members again.
+    """
+
+    keep: Callable[[str], bool] = staticmethod(is_file)
+    paths: Sequence[str] = ()
+
+    @classmethod
+    def name(cls) -> str:
+        return "zip_lines"
+
+    def schema(self) -> str:
+        return LINES
+
+    def reader(self, schema) -> ZipLinesReader:
+        paths = self.paths or [self.options["path"]]
+        return ZipLinesReader(paths, type(self).keep, int(self.options.get("taskBytes", TASK_BYTES)))
+
+
+def read_zip_lines(
+    spark: SparkSession, path: str | Sequence[str], keep: Callable[[str], bool] = is_file, task_bytes: int = TASK_BYTES
+) -> DataFrame:
+    """Lines of the members whose name passes ``keep``, from landed archives."""
+    # workers get the source itself, whether or not they have this package
+    for module in (__name__, listed.__module__):
+        cloudpickle.register_pickle_by_value(sys.modules[module])
+    paths = [path] if isinstance(path, str) else list(path)
+    spark.dataSource.register(type("ZipLines", (ZipLines,), {"keep": staticmethod(keep), "paths": tuple(paths)}))
+    return spark.read.format("zip_lines").option("taskBytes", task_bytes).load()
 
 
 def _batches(archive: str, member: str, raw: IO[bytes]) -> Iterator[pd.DataFrame]:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import csv
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlake.functions.clean import canonical_names
+from emberlake.sources.files import SCHEMES, first_line, scheme_of
 
 # fixed values: the columns of a daily weather file, in file order
 WEATHER_COLUMNS = (
@@ -43,10 +46,49 @@ def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.option("header", True).option("enforceSchema", False).schema(header).csv(path)
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, header`` of each file at the paths (files, folders, globs): its first line, null for an empty file.
+
+    Spark lists the files and tasks read the beginning of each. In a store that tasks can't open by themselves Spark
+    reads the files' first blocks as text instead.
+    """
+    files = spark.read.format("binaryFile").load(list(paths)).select("path")
+    if scheme_of(paths[0]) in SCHEMES:
+
+        def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield batch.assign(header=[first_line(path) for path in batch["path"]])
+
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return files.repartition(tasks, "path").mapInPandas(first_lines, "path string, header string")
+    place = F.monotonically_increasing_id()
+    lines = spark.read.text(list(paths)).where("_metadata.file_block_start = 0")
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), "value", place.alias("place"))
+    return lines.groupBy("path").agg(F.regexp_replace(F.min_by("value", "place"), "^\\ufeff", "").alias("header"))
+
+
+def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """CSV files with headers that may differ from file to file: one frame per header, every column text.
+
+    A header is a list of column names in their order. Files without any line are passed over.
+    """
+    found = headers(spark, paths).where("header IS NOT NULL").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    by_header = {row["header"]: row["paths"] for row in found.collect()}
+    frames = []
+    for header, files in sorted(by_header.items()):
+        columns = strings(next(csv.reader([header])))
+        # files of one header are read by the paths given, so that no list of files travels with the plan
+        chosen = list(paths) if len(by_header) == 1 else files
+        frames.append(spark.read.option("header", True).option("enforceSchema", False).schema(columns).csv(chosen))
+    return frames
+
+
 def read_fires(spark: SparkSession, *paths: str | Sequence[str]) -> DataFrame:
-    """Fire detections. Each path holds files with one header; different instruments go to different
-    paths and are unified by column name."""
-    parts = [canonical_names(read_csv(spark, path)) for path in paths]
+    """Fire detections of any instrument: files are read by their header, wherever they lie, and unified by name."""
+    every = [p for path in paths for p in ([path] if isinstance(path, str) else path)]
+    parts = [canonical_names(frame) for frame in read_mixed_csv(spark, every)]
+    if not parts:
+        raise ValueError(f"no file with a header in {every}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -153,17 +153,58 @@ def test_stale_or_missing_data_fails_the_checks(spark, lake):
     assert quality.has_rows(fires.where("false")).first()[0] == 0
 
 
-def test_instruments_are_unified_by_name_and_mixed_headers_fail(spark, tmp_path):
+OTHER = "longitude,latitude,brightness,bright_t31,frp,scan,track,acq_date,acq_time,confidence"
+
+
+def test_instruments_are_unified_by_name(spark, tmp_path):
     lake = daily.Lake(str(tmp_path))
     land(lake, "a", [HEADER, FIRES[0]])
-    land(lake, "b", ["longitude,latitude,brightness,bright_t31,frp,scan,track,acq_date,acq_time,confidence", "1,2,3,4,5,6,7,2021-01-01,0000,high"])
+    land(lake, "b", [OTHER, "1,2,3,4,5,6,7,2021-01-01,0000,high"])
     both = readers.read_fires(spark, lake.landed("a"), lake.landed("b"))
     assert rows(both, "longitude", "bright_ti4", "bright_ti5") == [("1", "3", "4"), ("3.5", "330.1", "290.5")]
-    land(lake, "c", [HEADER, FIRES[0]])
-    with open(lake.landed("c") + "/other.csv", "w") as f:
-        f.write("longitude,latitude,brightness,bright_t31,frp,scan,track,acq_date,acq_time,confidence\n1,2,3,4,5,6,7,2021-01-01,0000,high\n")
-    with pytest.raises(Exception, match="header|schema"):
-        readers.read_fires(spark, lake.landed("c")).collect()
+
+
+def mixed_folder(lake):
+    """Files of both instruments, packed and plain, one with another order of columns, one with a mark, one empty."""
+    land(lake, "fires/2021", [HEADER, *FIRES])
+    folder = lake.landed("fires/2021")
+    moved = ",".join(reversed(HEADER.split(",")))
+    texts = {
+        "other.csv": f"{OTHER}\n0.5,0.5,3,4,5,6,7,2021-04-01,0000,high\n",
+        "marked.csv": f"\ufeff{OTHER}\r\n0.5,0.6,3,4,5,6,7,2021-04-01,0000,high\r\n",
+        "moved.csv": f"{moved}\n9,280.5,low,0000,2021-05-01,1,1,320.5,0.5,0.5\n",
+        "quoted.csv": '"latitude","longitude","acq_date","acq_time"\n0.5,0.7,2021-06-01,0000\n',
+        "header_only.csv": f"{OTHER}\n",
+        "empty.csv": "",
+    }
+    for name, text in texts.items():
+        with open(f"{folder}/{name}", "w", newline="", encoding="utf-8") as out:
+            out.write(text)
+    return folder
+
+
+@pytest.mark.parametrize("schemes", [("file",), ()])
+def test_one_folder_of_both_instruments(spark, tmp_path, monkeypatch, schemes):
+    monkeypatch.setattr(readers, "SCHEMES", schemes)
+    folder = mixed_folder(daily.Lake(str(tmp_path)))
+    assert readers.headers(spark, [folder]).where("header IS NOT NULL").count() == 6
+    got = readers.read_fires(spark, folder)
+    assert rows(got.where("acq_date > '2021-03-31'"), "longitude", "latitude", "bright_ti4", "bright_ti5", "frp") == sorted(
+        [("0.5", "0.5", "3", "4", "5"), ("0.5", "0.6", "3", "4", "5"), ("0.5", "0.5", "320.5", "280.5", "9"), ("0.7", "0.5", None, None, None)], key=repr
+    )
+    assert got.count() == len(FIRES) + 4
+    with pytest.raises(ValueError, match="no file with a header"):
+        readers.read_fires(spark, f"{folder}/empty.csv")
+
+
+def test_the_fire_job_takes_a_mixed_folder(spark, lake):
+    mixed_folder(lake)
+    daily.rebuild_areas(spark, lake)
+    daily.reprocess_fires(spark, lake, [2021])
+    table = spark.read.parquet(lake.table("fires")).where("month > 3")
+    assert rows(table, "geometry", "bright_ti4", "month") == [
+        ("POINT (0.5 0.5)", 3.0, 4), ("POINT (0.5 0.5)", 320.5, 5), ("POINT (0.5 0.6)", 3.0, 4), ("POINT (0.7 0.5)", None, 6),
+    ]
 
 
 def test_rejected_rows_are_counted(spark, lake):
@@ -215,6 +256,42 @@ def test_zip_members(spark, tmp_path):
     assert [r.h for r in readers.read_csv(spark, f"{target}/file=2021_fire_b").collect()] == ["é"]
 
 
+def test_members_are_tasks(spark, tmp_path):
+    for name in ("a", "b"):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            for i in range(5):
+                z.writestr(f"m{i}.csv", f"{name}{i}\n" * (i + 1))
+    (tmp_path / "not.txt").write_text("x")
+    lines = archive.read_zip_lines(spark, str(tmp_path), task_bytes=1)
+    assert lines.rdd.getNumPartitions() == 10 and lines.count() == 30
+    shared = archive.read_zip_lines(spark, [f"{tmp_path}/a.zip", f"file://{tmp_path}/b*.zip"])
+    assert shared.rdd.getNumPartitions() == 1 and shared.select("line").distinct().count() == 10
+    assert rows(shared.where("member = 'm1.csv'"), "line_no", "line") == [(0, "a1"), (0, "b1"), (1, "a1"), (1, "b1")]
+    with pytest.raises(Exception, match="absent"):
+        archive.read_zip_lines(spark, f"{tmp_path}/absent.zip").count()
+
+
+def test_a_member_of_over_100_megabytes_is_read_as_a_stream(spark, tmp_path):
+    line = "0123456789" * 100 + "\n"
+    with zipfile.ZipFile(tmp_path / "large.zip", "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+        with z.open("large.csv", "w", force_zip64=True) as out:
+            for _ in range(120):
+                out.write((line * 1000).encode())
+        z.writestr("small.csv", "x\n")
+    lines = archive.read_zip_lines(spark, f"{tmp_path}/large.zip")
+    assert lines.rdd.getNumPartitions() == 2
+    found = lines.groupBy("member").agg(F.count("*").alias("n"), F.max("line_no").alias("last"), F.min(F.length("line")).alias("least"))
+    assert rows(found, "member", "n", "last", "least") == [("large.csv", 120_000, 119_999, 1000), ("small.csv", 1, 0, 1)]
+    reader = archive.ZipLinesReader([f"{tmp_path}/large.zip"], archive.is_file, archive.TASK_BYTES)
+    import tracemalloc
+
+    tracemalloc.start()
+    assert sum(batch.num_rows for part in reader.partitions() for batch in reader.read(part)) == 120_001
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6  # a batch of 20,000 lines of 1,000 characters, twice
+
+
 def test_manifest(spark):
     listed = spark.createDataFrame(
         [("a.b.txt", "2021-02-03 01:00", "5", "/x"), ("c.txt", "2021-02-04 01:00", "6", "/y"), ("d.txt", "2021-02-04 02:00", "7", "/z")],
