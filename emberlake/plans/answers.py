@@ -456,3 +456,44 @@ SQL["daily_run"] = f"""
 WITH {GEOMETRY}, cleaned AS ({CLEAN_FIRES})
 SELECT year, month, adm4_name, COUNT(*) AS fire_spots
 FROM cleaned c JOIN inside USING (event_id) JOIN named USING (adm) GROUP BY year, month, adm4_name"""
+
+_RUN_FIRES = f"""
+SELECT event_id, folder, {_TIME} AS datetime, TRY_CAST(SUBSTR(acq_date, 1, 4) AS INT) AS year,
+       CAST(MONTH({_TIME}) AS INT) AS month FROM {_view(b.RUN_FIRES)} r"""
+
+
+def _seen(kind: str, source: str, since: str) -> str:
+    return f"(SELECT CASE WHEN COUNT(*) > 0 THEN 1 ELSE 0 END FROM {source} WHERE CAST(datetime AS DATE) >= DATE '{since}')"
+
+
+def _without(source: str) -> str:
+    return f"(SELECT 2 - COUNT(DISTINCT year) FROM {source} WHERE year IN (2000, 2001))"
+
+
+_RUN_CHECKS = [
+    ("fires cover the years", _without("fire"), 0),
+    ("weather cover the years", _without("rain"), 0),
+    ("fires are recent", _seen("fires", "fire", "2001-11-02"), 1),
+    ("weather is recent", _seen("weather", "rain", "2001-10-29"), 1),
+    ("fires are recent", _seen("fires", "fire", "2002-02-26"), 1),
+    ("weather is recent", _seen("weather", "rain", "2002-02-22"), 1),
+]
+SQL["daily_checks"] = f"""
+WITH {DISTANCE}, fire AS (SELECT * FROM ({_RUN_FIRES}) f JOIN inside USING (event_id) WHERE folder >= 2000),
+rain AS (SELECT r.* FROM ({CLEAN_WEATHER}) r JOIN linked ON station = id WHERE datetime >= '2000-01-01')
+""" + " UNION ALL ".join(
+    f"SELECT {n} AS number, c.* FROM ({_check(*check)}) c" for n, check in enumerate(_RUN_CHECKS)
+)
+SQL["weather_rebuild"] = f"""
+WITH {DISTANCE}
+SELECT element, year, month, adm, COUNT(*) AS readings, CAST(SUM(value) AS BIGINT) AS total
+FROM ({CLEAN_WEATHER}) r JOIN linked ON station = id GROUP BY ALL"""
+SQL["catch_up_runs"] = f"""
+WITH fire AS (SELECT folder, event_id % 5 = 0 AND folder = 1996 AS extra FROM {_view(b.RUN_FIRES)} r),
+rain AS (SELECT DISTINCT CAST(SUBSTR(date, 1, 4) AS INT) AS folder FROM {SOURCE_WEATHER} s)
+SELECT DISTINCT CASE WHEN folder <= 1998 AND NOT extra THEN 1 ELSE 3 END AS run, 'fires' AS kind, folder AS year FROM fire
+UNION ALL SELECT CASE WHEN folder <= 1998 THEN 1 ELSE 3 END, 'weather', folder FROM rain"""
+SQL["caught_up_fires"] = f"""
+WITH {GEOMETRY}
+SELECT year, month, adm, COUNT(*) AS fire_spots, COUNT(datetime) AS with_time
+FROM ({_RUN_FIRES}) f JOIN inside USING (event_id) GROUP BY ALL"""

@@ -114,6 +114,14 @@ SELECT event_id,
          ELSE CAST(EXTRACT(HOUR FROM ts) * 100 + EXTRACT(MINUTE FROM ts) AS STRING) END AS acq_time
 FROM {{events}}"""
 
+# the same detections over seven years, by the folder they land in: some with an unreadable time or date, some a year late
+RUN_FIRES = f"""
+SELECT event_id, longitude, latitude, brightness, bright_t31, frp, scan, track, confidence,
+       CASE WHEN event_id % 499 = 0 THEN 'unknown' ELSE CAST(day AS STRING) END AS acq_date,
+       CASE WHEN event_id % 97 = 0 THEN '99:99' ELSE acq_time END AS acq_time,
+       CAST(EXTRACT(YEAR FROM day) AS INT) + CASE WHEN event_id % 211 = 0 AND day < DATE '2001-01-01' THEN 1 ELSE 0 END AS folder
+FROM (SELECT *, DATE '1995-01-01' + CAST((event_id * 7919) % 2500 AS INT) AS day FROM ({SOURCE_FIRES}) f) d"""
+
 # weather readings as text, with a missing and an impossible hour
 SOURCE_WEATHER = """
 SELECT 's' || CAST(l_suppkey AS STRING) AS station,

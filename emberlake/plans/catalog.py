@@ -649,23 +649,106 @@ def pruned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, folder, ["station", "value", "month", "adm"], wanted)
 
 
-@query
-def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land everything, build all tables, run the checks, and count the fire fact by month and state."""
+def _landed_lake(spark: SparkSession, sf_dir: str) -> daily.Lake:
+    """A lake with landed areas and stations and the tables made of them."""
     lake = daily.Lake(shared_folder(spark, "lake"))
     areas(spark, sf_dir).write.json(lake.landed("shapes"))
     sinks.land_text(bindings.view(spark, sf_dir, bindings.STATION_LINES), lake.landed("stations"))
-    raw_fires = bindings.view(spark, sf_dir, bindings.SOURCE_FIRES).drop("event_id")
-    sinks.land_csv(raw_fires, lake.landed("fires/2024"))
-    raw_weather = bindings.view(spark, sf_dir, bindings.SOURCE_WEATHER).select(*readers.WEATHER_COLUMNS)
-    sinks.land_csv(raw_weather, lake.landed("weather/2024"), header=False)
     daily.rebuild_areas(spark, lake, LEVELS)
     daily.rebuild_stations(spark, lake)
-    daily.reprocess_fires(spark, lake, [2024])
-    daily.reprocess_weather(spark, lake, [2024])
+    return lake
+
+
+def _land_fires(lake: daily.Lake, rows: DataFrame) -> list[int]:
+    """Add detections (with ``folder``) as files to each year's folder; returns the years."""
+    years = sorted(row["folder"] for row in rows.select("folder").distinct().collect())
+    for year in years:
+        part = rows.where(F.col("folder") == year).drop("event_id", "folder")
+        sinks.land_csv(part, lake.landed(f"fires/{year}"), mode="append")
+    return years
+
+
+def _land_weather(lake: daily.Lake, rows: DataFrame) -> list[int]:
+    rows = rows.withColumn("folder", F.substring("date", 1, 4).cast("int"))
+    years = sorted(row["folder"] for row in rows.select("folder").distinct().collect())
+    for year in years:
+        part = rows.where(F.col("folder") == year).select(*readers.WEATHER_COLUMNS)
+        sinks.land_csv(part, lake.landed(f"weather/{year}"), header=False, mode="append")
+    return years
+
+
+@query
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land everything by year, build all tables, and count the fire fact by month and state."""
+    lake = _landed_lake(spark, sf_dir)
+    raw = bindings.view(spark, sf_dir, bindings.SOURCE_FIRES)
+    fire_years = _land_fires(lake, raw.withColumn("folder", F.substring("acq_date", 1, 4).cast("int")))
+    weather_years = _land_weather(lake, bindings.view(spark, sf_dir, bindings.SOURCE_WEATHER))
+    daily.load_years(spark, lake, fire_years, weather_years)
     fact = readers.read_table(spark, lake.table("fires"))
     return fact.groupBy("year", "month", "adm4_name").agg(F.count(F.lit(1)).alias("fire_spots"))
 
 
+@query
+def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of a day's run and of a back-fill, from what was seen while the tables were written."""
+    lake = _landed_lake(spark, sf_dir)
+    _land_fires(lake, bindings.view(spark, sf_dir, bindings.RUN_FIRES).where("folder >= 2000"))
+    _land_weather(lake, bindings.view(spark, sf_dir, bindings.SOURCE_WEATHER).where("date >= '2000'"))
+    results = daily.load_years(spark, lake, [2000, 2001], [2000, 2001])
+    written = {kind: daily.rebuild(spark, lake, kind, [2001])[2001] for kind in daily.FACTS}
+    results += daily.run_checks(spark, lake, "2001-11-05", written)
+    results += daily.run_checks(spark, lake, "2002-03-01", written)
+    rows = [(n, *result, result.passed) for n, result in enumerate(results)]
+    return spark.createDataFrame(rows, "number int, check string, value int, expected int, passed boolean")
+
+
+@query
+def weather_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather fact rebuilt year by year, one year twice, with the readings whose time is unreadable."""
+    lake = _landed_lake(spark, sf_dir)
+    years = _land_weather(lake, bindings.view(spark, sf_dir, bindings.SOURCE_WEATHER))
+    daily.load_years(spark, lake, [], years)
+    daily.reprocess_weather(spark, lake, [1997])
+    fact = spark.read.schema("element string, year int, month int, adm string, value int").parquet(lake.table("weather"))
+    return fact.groupBy("element", "year", "month", "adm").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum("value").alias("total")
+    )
+
+
+def _caught_up(spark: SparkSession, sf_dir: str) -> tuple[daily.Lake, list[dict[str, list[int]]]]:
+    """Four runs: after the first four years landed, again, after the others and more files of 1996 landed, and again."""
+    lake = _landed_lake(spark, sf_dir)
+    fire, rain = (bindings.view(spark, sf_dir, v) for v in (bindings.RUN_FIRES, bindings.SOURCE_WEATHER))
+    extra = F.col("event_id") % 5 == 0
+    early = F.col("folder") <= 1998
+    more = F.col("folder") == 1996
+    _land_fires(lake, fire.where(early & ~(more & extra)))
+    _land_weather(lake, rain.where("date < '1999'"))
+    runs = [daily.sync(spark, lake), daily.sync(spark, lake)]
+    _land_fires(lake, fire.where(~early | (more & extra)))
+    _land_weather(lake, rain.where("date >= '1999'"))
+    runs += [daily.sync(spark, lake), daily.sync(spark, lake)]
+    return lake, runs
+
+
+@query
+def catch_up_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The years that each of four runs of the ledger rebuilt."""
+    _, runs = _caught_up(spark, sf_dir)
+    rows = [(n, kind, year) for n, run in enumerate(runs, 1) for kind, years in run.items() for year in years]
+    return spark.createDataFrame(rows, "run int, kind string, year int")
+
+
+@query
+def caught_up_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fire fact after runs that rebuilt only what had changed: equal to one build of everything."""
+    lake, _ = _caught_up(spark, sf_dir)
+    fact = spark.read.schema("datetime timestamp, adm string, year int, month int").parquet(lake.table("fires"))
+    return fact.groupBy("year", "month", "adm").agg(
+        F.count(F.lit(1)).alias("fire_spots"), F.count("datetime").alias("with_time")
+    )
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["points_in_areas"](spark, sf_dir)

@@ -142,16 +142,24 @@ def fires_table(fires: DataFrame, shapes: DataFrame, relations: DataFrame, **opt
     )
 
 
-def build_fires(
-    spark: SparkSession, source: str | Sequence[str], fires: str, relations: str, shapes: str, level: int = 8
-) -> None:
+FIRE_PARTITIONS = ("year", "month")
+
+
+def landed_fire_fact(
+    spark: SparkSession, source: str | Sequence[str], relations: str, shapes: str, level: int = 8
+) -> DataFrame:
     paths = [source] if isinstance(source, str) else source
-    table = fires_table(
+    return fires_table(
         clean_fires(readers.read_fires(spark, *paths)),
         readers.at_level(readers.read_table(spark, shapes), level),
         readers.at_level(readers.read_table(spark, relations), level),
     )
-    sinks.replace_partitions(table, fires, ["year", "month"])
+
+
+def build_fires(
+    spark: SparkSession, source: str | Sequence[str], fires: str, relations: str, shapes: str, level: int = 8
+) -> None:
+    sinks.replace_partitions(landed_fire_fact(spark, source, relations, shapes, level), fires, FIRE_PARTITIONS)
 
 
 # --- weather ---------------------------------------------------------------------------------------------
@@ -180,8 +188,12 @@ def weather_table(readings: DataFrame, stations: DataFrame, **options) -> DataFr
     return dimension_join(readings, links, ["station"], **options)
 
 
+WEATHER_PARTITIONS = ("element", "year", "month")
+
+
+def landed_weather_fact(spark: SparkSession, source: str | Sequence[str], stations: str) -> DataFrame:
+    return weather_table(clean_weather(readers.read_weather(spark, source)), readers.read_table(spark, stations))
+
+
 def build_weather(spark: SparkSession, source: str | Sequence[str], weather: str, stations: str) -> None:
-    table = weather_table(
-        clean_weather(readers.read_weather(spark, source)), readers.read_table(spark, stations)
-    )
-    sinks.replace_partitions(table, weather, ["element", "year", "month"])
+    sinks.replace_partitions(landed_weather_fact(spark, source, stations), weather, WEATHER_PARTITIONS)

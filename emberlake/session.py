@@ -64,6 +64,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store Spark reads it from."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate result that several later steps read, and read it back.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +17,16 @@ def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(name) for name in columns])
 
 
-def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Parquet by partition; only the partitions present in the frame are replaced."""
-    by_partition(df, columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+def replace_partitions(
+    df: DataFrame, path: str, columns: Sequence[str], watch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Parquet by partition; only the partitions present in the frame are replaced.
+
+    ``watch`` sees the rows in the stage that writes them, whose tasks count once however often they run.
+    """
+    rows = by_partition(df, columns)
+    rows = watch(rows) if watch else rows
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *columns
     ).parquet(path)
 
@@ -43,6 +50,6 @@ def land_text(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").text(path)
 
 
-def land_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """Gzip CSV files."""
-    df.write.mode("overwrite").option("compression", "gzip").option("header", header).csv(path)
+def land_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
+    """Gzip CSV files; ``append`` adds files to a folder that has some."""
+    df.write.mode(mode).option("compression", "gzip").option("header", header).csv(path)
