@@ -204,16 +204,39 @@ def extent(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     )
 
 
+def side_sql(e: str, x: str, y: str) -> str:
+    """``side`` as SQL text, for an edge called ``e``."""
+    return f"({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({x} - {e}.x1) * ({e}.y2 - {e}.y1)"
+
+
+def on_edge_sql(e: str, x: str, y: str) -> str:
+    return (
+        f"({e}.y1 <= {y} AND {y} <= {e}.y2 AND least({e}.x1, {e}.x2) <= {x} AND {x} <= greatest({e}.x1, {e}.x2)"
+        f" AND {side_sql(e, x, y)} = 0)"
+    )
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """Offer the geometry functions to SQL text as temporary functions.
 
-    SQL function bodies take scalars and arrays, so polygons pass as WKT text and points as two numbers.
+    SQL function bodies take scalars and arrays, so polygons pass as WKT text and points as two numbers or as text.
+    ``el_contains`` and ``el_distance`` answer for one polygon in the unit of its coordinates, null where its text is
+    none; joins of many points and areas go through ``spatial.register_areas``.
     """
     ring = r"regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)"
     x_of = "try_cast(split(trim(v), '\\\\s+')[0] as double)"
     y_of = "try_cast(split(trim(v), '\\\\s+')[1] as double)"
+    edge = "'x1', if(a.y <= b.y, a.x, b.x), 'y1', least(a.y, b.y), 'x2', if(a.y <= b.y, b.x, a.x), 'y2', greatest(a.y, b.y)"
+    between = "slice(r, 1, size(r) - 1), slice(r, 2, size(r) - 1)"
+    crossing = f"e.y1 <= y AND y < e.y2 AND {side_sql('e', 'x', 'y')} < 0"
+    along = "((x - e.x1) * (e.x2 - e.x1) + (y - e.y1) * (e.y2 - e.y1))"
+    square = "((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1))"
+    t = f"greatest(0D, least(1D, coalesce(try_divide({along}, {square}), 0D)))"
+    apart = f"sqrt(pow(x - e.x1 - {t} * (e.x2 - e.x1), 2) + pow(y - e.y1 - {t} * (e.y2 - e.y1), 2))"
     definitions = [
         "el_point(x DOUBLE, y DOUBLE) RETURNS STRING RETURN concat('POINT (', x, ' ', y, ')')",
+        "el_flip(point STRING) RETURNS STRING RETURN"
+        r" regexp_replace(point, '^\\s*POINT\\s*\\(\\s*(\\S+)\\s+(\\S+?)\\s*\\)\\s*$', 'POINT ($2 $1)')",
         "el_strip_srid(geom STRING) RETURNS STRING RETURN substring_index(geom, ';', -1)",
         f"el_mercator_x(lon DOUBLE) RETURNS DOUBLE RETURN {EARTH_RADIUS} * radians(lon)",
         f"el_mercator_y(lat DOUBLE) RETURNS DOUBLE RETURN {EARTH_RADIUS} * "
@@ -222,6 +245,12 @@ def register_sql_functions(spark: SparkSession) -> None:
         f"el_latitude(y DOUBLE) RETURNS DOUBLE RETURN degrees(2 * atan(exp(y / {EARTH_RADIUS})) - pi() / 2)",
         "el_rings(wkt STRING) RETURNS ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>> RETURN "
         f"transform({ring}, r -> transform(split(r, ','), v -> named_struct('x', {x_of}, 'y', {y_of})))",
+        f"el_edges(wkt STRING) RETURNS ARRAY<{EDGE_TYPE.upper()}> RETURN "
+        f"flatten(transform(el_rings(wkt), r -> zip_with({between}, (a, b) -> named_struct({edge}))))",
+        "el_contains(wkt STRING, x DOUBLE, y DOUBLE) RETURNS BOOLEAN RETURN "
+        f"exists(el_edges(wkt), e -> {on_edge_sql('e', 'x', 'y')}) OR size(filter(el_edges(wkt), e -> {crossing})) % 2 = 1",
+        "el_distance(wkt STRING, x DOUBLE, y DOUBLE) RETURNS DOUBLE RETURN "
+        f"if(el_contains(wkt, x, y), 0D, array_min(transform(el_edges(wkt), e -> {apart})))",
     ]
     for body in definitions:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {body}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberlake.functions import geo
@@ -72,6 +72,31 @@ def contains_join(
     return joined.where(tile_covers(px, py)).drop(*TILE_COLUMNS)
 
 
+def register_areas(spark: SparkSession, areas: DataFrame, function: str = "el_areas_at") -> None:
+    """Offer the containment join to SQL text: a table function that gives the areas at a point.
+
+    ``FROM points p, LATERAL el_areas_at(p.x, p.y) a`` has ``a.shape_id``. The function reads the tiles of the areas
+    (view ``{function}_tiles``) by the point's cell, so the lateral join becomes an equi-join on the cell.
+    """
+    plan = plan_tiles(areas)
+    tiles = area_tiles(areas, plan.cell)
+    (F.broadcast(tiles) if plan.bytes <= BROADCAST_BYTES else tiles).createOrReplaceTempView(f"{function}_tiles")
+
+    def crossings(e: str) -> str:
+        passed = f"{e}.low <= y AND y < {e}.high AND {geo.side_sql(e, 'x', 'y')} < 0"
+        return f"if({e}.left > y, 1, 0) + if({passed}, 1, 0)"
+
+    on = [f"coalesce({geo.on_edge_sql(e, 'x', 'y')}, false)" for e in ("t.first", "t.second")]
+    on.append(f"coalesce(exists(t.rest, e -> {geo.on_edge_sql('e', 'x', 'y')}), false)")
+    more = f"coalesce(aggregate(t.rest, 0, (n, e) -> n + {crossings('e')}), 0)"
+    counted = f"t.odd + {crossings('t.first')} + {crossings('t.second')} + {more}"
+    cell = " AND ".join(f"t.c{axis} = floor({axis} / {plan.cell}D)" for axis in "xy")
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {function}(x DOUBLE, y DOUBLE) RETURNS TABLE(shape_id STRING) RETURN"
+        f" SELECT t.shape_id FROM {function}_tiles t WHERE {cell} AND (({counted}) % 2 = 1 OR {' OR '.join(on)})"
+    )
+
+
 def distance_join(
     points: DataFrame,
     areas: DataFrame,

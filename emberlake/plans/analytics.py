@@ -58,12 +58,16 @@ def weekly_readings(
     ``days_recorded`` counts readings, also those whose value is null.
     """
     value = F.avg("value") if mean else F.sum("value")
+    when = F.col("datetime")
+    # numbers are grouped, and written out once per group
     weekly = (
         timed(inside_only(weather))
         .where(F.col("element") == element)
-        .groupBy(key, F.year("datetime").alias("year"), calendar.week_label(F.col("datetime")).alias("week"))
+        .groupBy(key, F.year(when).alias("year"), F.month(when).alias("_month"), calendar.week_number(when).alias("_week"))
         .agg(F.count(F.lit(1)).alias("days_recorded"), value.alias("agg_value"))
     )
+    label = calendar.label_of(F.col("_month"), F.col("_week")).alias("week")
+    weekly = weekly.select(key, "year", label, "days_recorded", "agg_value")
     spine = calendar.week_labels(start, end) if start and end else calendar.week_labels_of(F.col("year"))
     filled = calendars.fill(weekly, [key, "year"], "week", spine, ["days_recorded", "agg_value"])
     return filled.withColumn("days_recorded", F.coalesce("days_recorded", F.lit(0)))
@@ -115,6 +119,14 @@ def rolling_rain(
     )
 
 
+def rolling_daily(daily: DataFrame, keys: Sequence[str], value: str, windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """Rolling sums of one value per key and ``date``, on each day between a key's first and last."""
+    bounds = daily.where("date IS NOT NULL").groupBy(*keys).agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    spine = spread(bounds, *keys).select(*keys, F.explode(calendar.days(F.col("first"), F.col("last"))).alias("date"))
+    filled = spine.join(daily, [*keys, "date"], "left")
+    return calendars.rolling_sums(filled, keys, "date", value, windows)
+
+
 def weekly_fires(fires: DataFrame, key: str = "adm") -> DataFrame:
     """Number of fires per area, year and week."""
     return timed(fires).groupBy(

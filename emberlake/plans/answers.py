@@ -220,6 +220,16 @@ SQL["project_points"] = f"""
 SELECT event_id, ROUND({_mx('CAST(longitude AS DOUBLE)')}, 3) AS mx, ROUND({_my('CAST(latitude AS DOUBLE)')}, 3) AS my,
        ROUND(CAST(longitude AS DOUBLE), 6) AS lon, ROUND(CAST(latitude AS DOUBLE), 6) AS lat FROM {SOURCE_FIRES} s"""
 
+SQL["sql_areas_at_points"] = f"WITH {GEOMETRY} SELECT event_id, adm FROM inside"
+SQL["sql_geometry"] = f"""
+WITH {GEOMETRY},
+corner AS (SELECT 'c' || k AS id, x0 / 1000 AS x, y0 / 1000 AS y FROM boxes),
+box AS (SELECT adm AS adm4, x0 / 1000 AS bx0, y0 / 1000 AS by0, (x0 + 12 * u) / 1000 AS bx1, (y0 + 12 * u) / 1000 AS by1
+        FROM state_box)
+SELECT id, adm4, 'POINT (' || CAST(y AS DOUBLE) || ' ' || CAST(x AS DOUBLE) || ')' AS flipped,
+       x BETWEEN bx0 AND bx1 AND y BETWEEN by0 AND by1 AS inside,
+       ROUND(SQRT(POW(GREATEST(bx0 - x, x - bx1, 0), 2) + POW(GREATEST(by0 - y, y - by1, 0), 2)), 6) AS distance
+FROM corner JOIN named ON named.adm = corner.id JOIN box USING (adm4)"""
 SQL["point_extent"] = f"""
 SELECT MIN(CAST(longitude AS DOUBLE)) AS min_x, MAX(CAST(longitude AS DOUBLE)) AS max_x,
        MIN(CAST(latitude AS DOUBLE)) AS min_y, MAX(CAST(latitude AS DOUBLE)) AS max_y, COUNT(*) AS points
@@ -339,6 +349,15 @@ both_weekly AS (
   FROM weekly_rain LEFT JOIN weekly_fire USING (adm, year, week))"""
 
 SQL["rolling_sums_weekly_max"] = f"WITH {ROLLING} SELECT * FROM weekly_rain"
+SQL["rolling_revenue"] = f"""
+WITH sold AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, CAST(l_extendedprice AS DECIMAL(18, 2)) AS price FROM lineitem),
+day AS (SELECT l_suppkey, CAST(UNNEST(generate_series(MIN(date)::TIMESTAMP, MAX(date)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS date
+        FROM sold GROUP BY l_suppkey),
+daily AS (SELECT l_suppkey, date, SUM(price) AS price FROM sold GROUP BY ALL)
+SELECT l_suppkey, date, {", ".join(
+    f"CAST(SUM(price) OVER (PARTITION BY l_suppkey ORDER BY date RANGE INTERVAL {n} DAYS PRECEDING) AS DOUBLE) AS sum_w{n}"
+    for n in _WINDOWS)}
+FROM day LEFT JOIN daily USING (l_suppkey, date)"""
 SQL["weekly_counts"] = f"WITH {ROLLING} SELECT * FROM weekly_fire"
 SQL["weekly_joined"] = f"WITH {ROLLING} SELECT * FROM both_weekly"
 SQL["rolling_correlation"] = f"""
@@ -348,7 +367,7 @@ SELECT adm, year, {", ".join(
     for n in _WINDOWS)}
 FROM both_weekly GROUP BY adm, year"""
 
-# --- fires y2 month and area -----------------------------------------------------------------------------
+# --- fires by month and area ------------------------------------------------------------------------------
 
 _DATED = f"""(SELECT *, CAST(YEAR(datetime) AS INT) AS year, CAST(MONTH(datetime) AS INT) AS month,
               strftime(datetime, '%b') AS month_name FROM {FIRES} f) d"""

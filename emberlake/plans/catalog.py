@@ -239,6 +239,31 @@ def project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def sql_areas_at_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The containment join in SQL, through its table function."""
+    spatial.register_areas(spark, spatial.area_edges(shapes_at(areas(spark, sf_dir))))
+    found = detections(spark, sf_dir)
+    return spark.sql("SELECT d.event_id, a.shape_id AS adm FROM {d} d, LATERAL el_areas_at(d.x, d.y) a", d=found)
+
+
+@query
+def sql_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contains, distance and flip in SQL: first corner of each city against its state, in degrees."""
+    geo.register_sql_functions(spark)
+    source = areas(spark, sf_dir)
+    return spark.sql(
+        """
+        WITH city AS (SELECT c.id, r.adm4, el_rings(c.geometry)[0][0] AS corner FROM {cities} c JOIN {relations} r ON c.id = r.id)
+        SELECT city.id, city.adm4, el_flip(el_point(corner.x, corner.y)) AS flipped,
+               el_contains(s.geometry, corner.x, corner.y) AS inside,
+               round(el_distance(s.geometry, corner.x, corner.y), 6) AS distance
+        FROM city JOIN {states} s ON s.id = city.adm4
+        """,
+        cities=shapes_at(source), relations=relations_at(source), states=shapes_at(source, 4),
+    )
+
+
 @query
 def point_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.extent(detections(spark, sf_dir))
@@ -353,6 +378,16 @@ def rolling_sums_weekly_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.rolling_rain(weather(spark, sf_dir))
 
 
+@query
+def rolling_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolling sums of fractions: revenue per supplier and day of its own calendar."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    sold = items.groupBy("l_suppkey", F.to_date("l_shipdate").alias("date")).agg(F.sum("l_extendedprice").alias("revenue"))
+    return analytics.rolling_daily(sold, ["l_suppkey"], "revenue").select(
+        "l_suppkey", "date", *[F.round(f"sum_w{n}", 2).alias(f"sum_w{n}") for n in analytics.WINDOWS]
+    )
+
+
 @query
 def weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.weekly_fires(fires(spark, sf_dir)).orderBy("adm", "year", "week")

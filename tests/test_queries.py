@@ -96,6 +96,31 @@ def test_rolling_sums_equal_range_frames(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.select(got.columns).collect()), key=repr)
 
 
+def test_rolling_sums_of_fractions_keep_their_digits(spark):
+    """A huge value long before a window leaves the window's small sum exact; running totals would not."""
+    days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-12-31')) AS date, explode(array('p', 'q')) AS k")
+    daily = days.withColumn(
+        "value", F.expr("CASE WHEN date = date'2020-01-05' THEN 1e17D WHEN hash(k, date) % 4 = 0 THEN abs(hash(date)) % 50 / 8D END")
+    )
+    lengths = [0, 3, 11, 12, 15, 30, 150]
+    got = calendars.rolling_sums(daily, ["k"], "date", "value", lengths)
+    want = daily.selectExpr(
+        "*",
+        *[f"sum(value) over (partition by k order by date range between interval {n} days preceding and current row) AS sum_w{n}" for n in lengths],
+    )
+    late = "date > '2020-07-01'"
+    assert sorted(map(tuple, got.where(late).collect()), key=repr) == sorted(map(tuple, want.where(late).select(got.columns).collect()), key=repr)
+    assert got.columns == ["date", "k", "value", *[f"sum_w{n}" for n in lengths]]
+
+
+def test_week_labels_of_every_kind_of_year(spark):
+    years = spark.range(1895, 2105).select(F.col("id").cast("int").alias("year"))
+    got = {r.year: r.labels for r in years.select("year", calendar.week_labels_of(F.col("year")).alias("labels")).collect()}
+    for year, labels in got.items():
+        days = [datetime.date(year, 1, 1) + datetime.timedelta(n) for n in range(366)]
+        assert labels == sorted({d.strftime("%m-%W") for d in days if d.year == year}), year
+
+
 def test_empty_weeks_have_count_zero_and_no_value(spark):
     rows = [("a", "PRCP", 5, datetime.datetime(2021, 1, 5), 0.0), ("a", "PRCP", 7, datetime.datetime(2021, 1, 6), 0.0),
             ("a", "PRCP", 9, datetime.datetime(2021, 1, 6), 10.0), ("a", "TAVG", 9, datetime.datetime(2021, 1, 6), 0.0)]

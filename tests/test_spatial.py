@@ -340,3 +340,33 @@ def test_distance_to_own_area_of_many_edges(spark):
     got = {r.pid: r.distance for r in nearest.distance_to(points, areas, ["pid"], hot_rows=40).collect()}
     assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], abs_tol=1e-6) for i in want)
     assert 0 < sum(d == 0 for d in got.values()) < 300
+
+
+def test_sql_geometry_functions(spark):
+    geo.register_sql_functions(spark)
+    random_ = random.Random(3)
+    polygons = [HOLED, CONCAVE, TWO_PARTS, [star(random_, 30, 5)]]
+    points = [(i / 2, j / 2) for i in range(-2, 22) for j in range(-2, 22)]
+    shapes = spark.createDataFrame([(i, wkt(p)) for i, p in enumerate(polygons)], "id int, w string")
+    spots = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "pid long, x double, y double")
+    both = spots.crossJoin(shapes).selectExpr(
+        "pid", "id", "w", "x", "y", "el_contains(w, x, y) AS inside", "el_distance(w, x, y) AS distance"
+    )
+    both = both.withColumn("apart", geo.distance(geo.wkt_edges(F.col("w")), F.col("x"), F.col("y"))).collect()
+    assert {(r.pid, r.id) for r in both if r.inside} == wanted(polygons, points)
+    assert all(math.isclose(r.distance, r.apart, abs_tol=1e-9) for r in both)
+    texts = spark.sql("SELECT el_flip('POINT (1.5 -2.0)') a, el_flip(' point( 1  2 ) ') b, el_flip('POINT (1.5 -2)') = el_flip(el_flip(el_flip('POINT (1.5 -2)'))) c").first()
+    assert (texts.a, texts.b, texts.c) == ("POINT (-2.0 1.5)", " point( 1  2 ) ", True)
+    assert spark.sql("SELECT el_contains(NULL, 1D, 1D) a, el_distance('POLYGON EMPTY', 1D, 1D) b").first()[1] is None
+
+
+def test_areas_at_a_point_in_sql(spark):
+    random_ = random.Random(5)
+    polygons = [HOLED, CONCAVE, TWO_PARTS] + [[star(random_, random_.choice([3, 9, 200]), random_.choice([0.05, 1, 15]))] for _ in range(30)]
+    points = [(random_.uniform(-30, 30), random_.uniform(-30, 30)) for _ in range(600)] + [(i / 2, j / 2) for i in range(20) for j in range(20)]
+    spots, areas = frames(spark, polygons, points)
+    spatial.register_areas(spark, areas, "test_areas_at")
+    joined = spark.sql("SELECT s.pid, a.shape_id FROM {s} s, LATERAL test_areas_at(s.x, s.y) a", s=spots)
+    assert found(joined) == wanted(polygons, points)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "HashJoin" in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
