@@ -21,6 +21,7 @@ from emberlake.session import spread
 WINDOWS = (15, 30, 60, 90, 120, 150)  # fixed values: days
 LOOK_BACK = "11-01"  # fixed value: the rolling calendar starts on this day of the year before
 MONTHS = list(range(1, 13))
+LOOKED_UP = 1000  # ids that a lookup sends as a filter; more are joined
 
 
 def inside_only(weather: DataFrame) -> DataFrame:
@@ -280,6 +281,14 @@ def stations_with_data(
 
 
 def shapes_by_name(shapes: DataFrame, relations: DataFrame, name: str | None = None) -> DataFrame:
-    """The shape of a named area, or of every named area."""
+    """The shape of a named area, or of every named area.
+
+    A name's ids are found first and become a filter on the shapes, so that a table kept in order of ids opens the row
+    groups that may hold them and no other geometry. A name of very many areas is joined instead.
+    """
     found = _of_parent(relations, name, "name").select("id", "name")
+    if name is not None:
+        ids = [row["id"] for row in found.select("id").distinct().limit(LOOKED_UP + 1).collect()]
+        if len(ids) <= LOOKED_UP:
+            return shapes.select("id", "geometry").where(F.col("id").isin(ids)).withColumn("name", F.lit(name))
     return dimension_join(shapes.select("id", "geometry"), found, ["id"])

@@ -406,6 +406,8 @@ SQL["stations_of_parent"] = f"SELECT adm4_name, geometry, id FROM {STATIONS} s"
 SQL["stations_with_data"] = f"""
 SELECT station, MIN(s.geometry) AS geometry FROM {WEATHER} w JOIN {STATIONS} s ON w.station = s.id
 WHERE YEAR(datetime) BETWEEN 1995 AND 2001 GROUP BY station"""
+SQL["shapes_of_one_name"] = f"""
+SELECT h.id, geometry, name FROM {_CITIES} c JOIN {_HOMES} h ON h.id = c.id WHERE name = 'Customer#000000007'"""
 SQL["shape_by_name"] = f"SELECT h.id, geometry, name FROM {_CITIES} c JOIN {_HOMES} h ON h.id = c.id"
 
 # --- quality ---------------------------------------------------------------------------------------------

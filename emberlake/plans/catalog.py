@@ -471,6 +471,15 @@ def shape_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.shapes_by_name(shapes_at(source), relations_at(source))
 
 
+@query
+def shapes_of_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One name's shape from the table of shapes as the job writes it, kept in order of ids."""
+    source, folder = areas(spark, sf_dir), shared_folder(spark, "shapes")
+    sinks.replace_table(jobs.shapes_table(source), folder, ["adm"], jobs.ROWS_PER_SHAPE_FILE, ["id"])
+    shapes = readers.at_level(readers.read_table(spark, folder), 8)
+    return analytics.shapes_by_name(shapes, relations_at(source), "Customer#000000007")
+
+
 # --- quality ---------------------------------------------------------------------------------------------
 
 

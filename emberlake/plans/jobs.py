@@ -39,7 +39,7 @@ def build_shapes(
 ) -> None:
     areas = readers.read_shapes(spark, source)
     sinks.replace_table(hierarchy.relations(areas, levels), relations, ["adm"])
-    sinks.replace_table(shapes_table(areas), shapes, ["adm"], ROWS_PER_SHAPE_FILE)
+    sinks.replace_table(shapes_table(areas), shapes, ["adm"], ROWS_PER_SHAPE_FILE, ["id"])
 
 
 def named_ancestors(relations: DataFrame) -> DataFrame:

@@ -32,16 +32,28 @@ def replace_partitions(
 
 
 def replace_table(
-    df: DataFrame, path: str, columns: Sequence[str] = (), rows_per_file: int | None = None
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str] = (),
+    rows_per_file: int | None = None,
+    order: Sequence[str] = (),
 ) -> None:
-    """Parquet, replacing the whole table; optionally partitioned and with a cap on rows per file."""
-    if columns:
+    """Parquet, replacing the whole table; optionally partitioned and with a cap on rows per file.
+
+    ``order`` names columns that rows are looked up by: each file holds one range of them, so their least and largest
+    values and a Bloom filter tell a reader which row groups to open.
+    """
+    if order:
+        df = df.repartitionByRange(*columns, *order).sortWithinPartitions(*columns, *order)
+    elif columns:
         df = by_partition(df, columns)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if columns:
         writer = writer.partitionBy(*columns)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
+    for name in order:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", True)
     writer.parquet(path)
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlake.operators import hierarchy, skew
-from emberlake.plans import jobs, quality
+from emberlake.plans import analytics, jobs, quality
 from emberlake.sources import archive, readers, sinks
 from emberlake.streaming import daily
 
@@ -134,6 +134,61 @@ def test_running_a_day_again_changes_nothing_and_other_months_stay(spark, lake):
     assert [r for r in after if r[3] == 2] == [("POINT (0.5 0.5)", "-3", 2021, 2, "high")]
 
 
+def test_the_recency_check_opens_only_its_months(spark, lake):
+    daily.run_day(spark, lake, "2021-02-05")
+    table = readers.read_table(spark, lake.table("fires"), ["datetime", "year", "month"])
+    plan = quality.has_recent_rows(table, "2021-02-05", 3)._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert "year#" in filters and "month#" in filters and "2021" in filters
+    for run_date, days, value in (("2021-02-05", 3, 1), ("2021-03-07", 3, 0), ("2021-03-05", 3, 1), ("2022-01-02", 400, 1)):
+        assert quality.has_recent_rows(table, run_date, days).first()["value"] == value, run_date
+
+
+def test_checks_come_from_what_was_written(spark, lake):
+    results = daily.run_day(spark, lake, "2021-02-05")
+    assert [(r.check, r.value, r.passed) for r in results] == [("fires are recent", 1, True), ("weather is recent", 1, True)]
+    seen = daily.reprocess_fires(spark, lake, [2021])[2021]
+    assert (seen.rows, seen.last, seen.years, seen.strays) == (5, datetime.datetime(2021, 3, 3, 4, 12), (2021,), 0)
+    assert seen.reaches("2021-03-06", 3) == 1 and seen.reaches("2021-03-07", 3) == 0
+    rain = daily.reprocess_weather(spark, lake, [2021])[2021]
+    assert (rain.rows, rain.years, rain.strays) == (4, (2021,), 1)
+
+
+def test_strays_stay_when_other_years_are_rebuilt(spark, lake):
+    daily.rebuild_areas(spark, lake)
+    daily.rebuild_stations(spark, lake)
+    land(lake, "weather/2020", ["ST000000001,20200203,PRCP,7,,,S,0700", "ST000000001,20200203,TAVG,8,,,S,2400", "ST000000001,20210901,PRCP,9,,,S,0700"])
+    landed = ["station", "element", "value", "year", "month"]
+    want = [
+        ("ST000000001", "PRCP", 0, 2021, 2), ("ST000000001", "PRCP", 120, 2021, 2), ("ST000000001", "PRCP", 7, 2020, 2),
+        ("ST000000001", "PRCP", 9, 2021, 9), ("ST000000001", "TAVG", 8, None, None), ("ST000000002", "TAVG", 231, None, None),
+        ("ST000000002", "TAVG", None, 2021, 2),
+    ]
+    for years in ([2020, 2021], [2021], [2020], [2021, 2020], [2021]):
+        daily.reprocess_weather(spark, lake, years)
+        assert rows(spark.read.parquet(lake.table("weather")), *landed) == sorted(want, key=repr), years
+    land(lake, "weather/2020", ["ST000000001,20200203,PRCP,7,,,S,0700"])
+    daily.reprocess_weather(spark, lake, [2020])
+    assert spark.read.parquet(lake.table("weather_strays")).where("landed = 2020").count() == 0
+
+
+def test_the_ledger_rebuilds_what_changed(spark, lake):
+    daily.rebuild_areas(spark, lake)
+    daily.rebuild_stations(spark, lake)
+    land(lake, "weather/2020", ["ST000000001,20200203,PRCP,7,,,S,0700"])
+    assert daily.sync(spark, lake) == {"fires": [2021], "weather": [2020, 2021]}
+    assert daily.sync(spark, lake) == {"fires": [], "weather": []}
+    land(lake, "weather/2020", ["ST000000001,20200203,PRCP,7,,,S,0700", "ST000000001,20200204,PRCP,8,,,S,0700"])
+    land(lake, "fires/2022", [HEADER, "0.5,0.5,1,1,1,2022-02-09,0101,high,1,1"])
+    assert daily.sync(spark, lake, at_once=1) == {"fires": [2022], "weather": [2020]}
+    assert daily.sync(spark, lake, ["weather"]) == {"weather": []}
+    assert rows(spark.read.parquet(lake.table("weather")).where("year = 2020"), "value") == [(7,), (8,)]
+    known = spark.read.parquet(lake.table("ledger"))
+    assert rows(known.groupBy("kind", "year").count(), "kind", "year", "count") == [
+        ("fires", 2021, 1), ("fires", 2022, 1), ("weather", 2020, 1), ("weather", 2021, 1),
+    ]
+
+
 def test_stale_or_missing_data_fails_the_checks(spark, lake):
     with pytest.raises(quality.QualityError, match="fires are recent"):
         daily.run_day(spark, lake, "2021-12-05")
@@ -233,6 +288,19 @@ def test_file_cap_and_static_overwrite(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_a_name_reads_one_row_group_of_shapes(spark, tmp_path):
+    path = str(tmp_path / "shapes")
+    rows_ = spark.range(6000).selectExpr("concat('c', lpad(id * 7 % 6000, 5, '0')) AS id", "repeat('geometry ', 50) AS geometry", "8 AS adm")
+    sinks.replace_table(rows_, path, ["adm"], 1000, ["id"])
+    relations = spark.range(6000).selectExpr("concat('c', lpad(id, 5, '0')) AS id", "concat('name ', id) AS name")
+    found = analytics.shapes_by_name(readers.at_level(spark.read.parquet(path), 8), relations, "name 4321")
+    assert [r.id for r in found.collect()] == ["c04321"]
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert 0 < scan.metrics().apply("numOutputRows").value() <= 1000
+    twins = relations.withColumn("name", F.lit("same"))
+    assert analytics.shapes_by_name(spark.read.parquet(path), twins, "same").count() == 6000
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     plan = sinks.by_partition(spark.range(10).selectExpr("id", "id % 2 AS month"), ["month"])
     assert "REBALANCE_PARTITIONS_BY_COL" in plan._jdf.queryExecution().executedPlan().toString()
