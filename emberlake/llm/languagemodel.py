@@ -242,15 +242,19 @@ def _frequent_children(frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
     return children[order], frequent.counts[order]
 
 
-def build_trie(blocks: list[_Block], frequent: Frequent) -> bytes:
-    """Trie of the pairs of training documents: counts of words, quantised log probabilities of pairs."""
+def build_trie(blocks: Iterator[_Block], frequent: Frequent) -> bytes:
+    """Trie of the pairs of training documents: counts of words, quantised log probabilities of pairs.
+
+    Blocks come one at a time; only the distinct pairs of their training documents stay.
+    """
     words, children, counts = [], [], []
     for b in blocks:
-        sums = np.add.reduceat(b.often.astype(np.int64) * b.train, np.cumsum(b.posts) - b.posts)
+        sums = np.add.reduceat(b.often * b.train, np.cumsum(b.posts) - b.posts, dtype=np.uint32)
         words.append(b.words[sums > 0])
         children.append(b.children[sums > 0])
         counts.append(sums[sums > 0])
-    word, child, count = np.concatenate(words), np.concatenate(children), np.concatenate(counts)
+    word, child, count = np.concatenate(words), np.concatenate(children), np.concatenate(counts).astype(np.int64)
+    del words, children, counts
     order = np.lexsort((child, word))
     word, child, count = word[order], child[order], count[order]
     new = np.ones(len(word), bool)
@@ -278,13 +282,18 @@ def _answers(shared) -> Callable[[pa.Table], pa.Table]:
 
     def run(part: pa.Table) -> pa.Table:
         frequent = shared.value
-        rows = [{name: part[name][i] for name in part.column_names} for i in range(part.num_rows)]
-        blocks = [_Block.read(r) for r in rows]
-        trie = Trie(build_trie(blocks, frequent))
+        read = ("block", "words", "sizes", "children", "posts", "owners", "often")
+
+        def blocks() -> Iterator[_Block]:
+            """Each block taken from its bytes when its turn comes, once to count and once to answer."""
+            for i in range(part.num_rows):
+                yield _Block.read({name: part[name][i] for name in read})
+
+        trie = Trie(build_trie(blocks(), frequent))
         heads, head_counts = _frequent_children(frequent)
         begin = _child(np.array([BEGIN]))[0]
         out = []
-        for b in blocks:
+        for b in blocks():
             starts = np.flatnonzero(np.append(True, b.words[1:] != b.words[:-1]))
             own = trie.find(b.words[starts])
             # a frequent word's pairs in this shard may all be of held-out documents
