@@ -18,7 +18,8 @@ from emberlake.session import shared_folder
 
 #: What separates words in the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20  # text handled at a time inside a task
+SLICE_BYTES = 1 << 20  # text handled at a time inside a task
+BATCH_BYTES = 4 << 20  # rows that go to a Python worker at a time
 _SHIPPED: list = []
 BITS = 26  # log2 of the size of a membership bitmap: 8 MB whatever goes in
 
@@ -28,7 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package where only the driver's path has it."""
+    """Let Python workers import this package where only the driver's path has it, and bound what they get at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = Path(__file__).resolve().parents[2]
     on_path = [Path(p).resolve() for p in [".", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
     if root in on_path or spark.sparkContext in _SHIPPED:

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from emberlake.llm.common import mixed
 
-PIECE = 1 << 21  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 FACTOR = 0x9E3779B97F4A7C15 | 1
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
