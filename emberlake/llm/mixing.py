@@ -64,16 +64,18 @@ def mix(
     ``docs`` has doc_id, text and source; further columns are ignored unless named in ``keep``. Returns
     doc_id, source, size, source_size, target, taken and the kept columns of other names, one row per input row.
 
-    Documents of a source stand in the order of md5(doc_id), then size. Whole epochs are taken from all of
+    Documents of a source stand in the order of md5(doc_id), then size, then md5(text). Whole epochs are taken from all of
     them; the rest of the target goes to the first ones, and the document at the cut gives the part that is
     missing. Word counts taken from a source add up to its target, rounded down.
 
-    Null text: size 0, taken 0. Null source: a source of its own, after all others. Null doc_id: ordered
-    first, as an empty key. Repeated rows: each counts. An empty table gives an empty result.
+    Null text: size 0, taken 0. Null source: a source of its own, after all others. Null doc_id: the
+    text's digest takes its place, so that rows without an id are spread like others. Repeated rows: each counts; rows
+    alike in id and size are told apart by their text, and rows alike in all of them are interchangeable. An empty table gives an empty result.
     """
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    tie = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("x"), tie)))
     sized = docs.select(
-        F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("_key"),
+        F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("_key"), tie.alias("_tie"),
         F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in keep]).alias("_kept"),
     )
     if not keep:  # three narrow columns are cheaper to write than to compute again
@@ -97,7 +99,7 @@ def mix(
         F.col("_range").alias("_r"),
         F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"),
     )
-    within = Window.partitionBy("source", "_range").orderBy("_key", "size")
+    within = Window.partitionBy("source", "_range").orderBy("_key", "size", "_tie")
     running = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     joined = placed.withColumn("_running", running).join(
         starts, F.expr("source <=> _source and _range = _r")
@@ -116,7 +118,8 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MIX_SQL = """
 sized AS (SELECT {columns}, len(regexp_extract_all(coalesce({text}, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-                 md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+                 md5(coalesce({text}, '')) AS tie,
+                 md5(coalesce(CAST(doc_id AS VARCHAR), 'x' || md5(coalesce({text}, '')))) AS key
           FROM {docs}),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                   (ARRAY[5.0, 2.0, 1.0])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
@@ -131,7 +134,7 @@ targets AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, weight
                 WHERE level * weight <= 3.0::DOUBLE * source_size)) AS target
             FROM levels),
 placed AS (SELECT s.*, t.source_size, t.target,
-                  sum(size) OVER (PARTITION BY s.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS ahead,
+                  sum(size) OVER (PARTITION BY s.source ORDER BY key, size, tie ROWS UNBOUNDED PRECEDING) - size AS ahead,
                   CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs
            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 mixed AS (SELECT *, CAST(epochs * size + least(greatest(

@@ -235,6 +235,16 @@ def test_mixing(spark, odd, empty):
     assert {r.taken for r in mixing.mix(table(spark, [(1, None, None, "a"), (2, "", None, None)])).collect()} == {0}
 
 
+def test_mix_spreads_rows_without_an_id(spark):
+    """A third of the rows have no id; reruns over other partitions give the same words to the same texts."""
+    rows = [(None if i % 3 else i // 30, f"{'w ' * (1 + i % 5)}{i}", None, "ab"[i % 2]) for i in range(600)]
+    one = mixing.mix(table(spark, rows), range_rows=20, keep=["text"]).select("doc_id", "text", "taken")
+    other = mixing.mix(table(spark, rows[::-1]).repartition(7), range_rows=20, keep=["text"]).select("doc_id", "text", "taken")
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+    taken = [r.taken > 0 for r in one.collect() if r.doc_id is None]
+    assert 0 < sum(taken) < len(taken)
+
+
 PAGES = {
     "": "",
     "just text &amp; more": "just text & more",

@@ -183,6 +183,18 @@ def test_op10_equals_every_alignment(spark, documents):
     assert got == want and got
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(i, "Menu\nown " + str(i), "s", 9, "mine", "yours", "dot") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, n_lines string, N_Dropped string, `a.b` string")
+    got = pipeline.line_dedup(spark, docs, SF)
+    assert got.schema == docs.schema
+    assert {tuple(r) for r in got.collect()} == {(i, f"own {i}", "s", 5, "mine", "yours", "dot") for i in range(8)}
+    few = pipeline.line_dedup(spark, docs.limit(2), SF)
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in docs.limit(2).collect()}
+
+
 def test_pipeline(spark, documents):
     import corpus_pipeline as pipeline
 
