@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.llm import decontaminate, lines, mixing, neardup, quality
-from emberlake.llm.common import ship, table, written
+from emberlake.llm.common import quoted, ship, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,12 +24,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; n_chars follows the text."""
-    cut = lines.drop_boilerplate(docs, F.col("source"))
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", n_chars)
-    return cut.select(*docs.columns)
+    """Documents without the boilerplate lines of their source; n_chars follows the text.
+
+    Columns of any name come back as they were, also such as the operator calls its own counts.
+    """
+    row = F.struct(*map(F.col, map(quoted, docs.columns))).alias("row")
+    cut = lines.drop_boilerplate(docs.select("text", F.col("source").alias("host"), row), F.col("host"))
+    changed = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+
+    def kept(name: str) -> Column:
+        old = F.col(f"row.{quoted(name)}")
+        return (F.when(F.col("n_dropped") > 0, changed[name]).otherwise(old) if name in changed else old).alias(name)
+
+    return cut.select(*map(kept, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
