@@ -275,6 +275,33 @@ def test_main_text(spark):
     assert maintext.extracted(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", ["<i>" * 90_000 + "<li>" * 90_000, "<i>" * 90_000 + "</b>" * 90_000, "<div><b>" * 60_000 + "</a>x" * 60_000, "<td><p>" * 90_000])
+def test_hostile_markup_is_read_in_linear_time(page):
+    """Pages of two thirds of a megabyte on which walking the open elements for each tag would take hours."""
+    import time
+
+    assert len(page) > 600_000
+    start = time.perf_counter()
+    maintext.main_text(page)
+    assert time.perf_counter() - start < 20
+
+
+def test_end_tags_and_implied_ends():
+    def shape(node):
+        return node.tag, [x if isinstance(x, str) else shape(x) for x in node.items]
+
+    cases = {
+        "<ul><li>a<li>b<ul><li>c</ul></ul>d": [("ul", [("li", ["a"]), ("li", ["b", ("ul", [("li", ["c"])])])]), "d"],
+        "<p>a<div>b</p>c</div>d": [("p", ["a"]), ("div", ["b", "c"]), "d"],
+        "<b><div>x</b>y</div>z": [("b", [("div", ["x", "y"]), "z"])],
+        "<table><tr><td>a<td>b<tr><td>c</table>": [("table", [("tr", [("td", ["a"]), ("td", ["b"])]), ("tr", [("td", ["c"])])])],
+        "<dl><dt>a<dd>b<dt>c</dl>": [("dl", [("dt", ["a"]), ("dd", ["b"]), ("dt", ["c"])])],
+        "<p><button><p>a</button>b": [("p", [("button", [("p", ["a", "b"])])])],
+        "</b></div>a<br>b<img/>c": ["a", ("br", []), "b", ("img", []), "c"],
+    }
+    assert {html: shape(maintext.parse(html))[1] for html in cases} == cases
+
+
 def test_elias_fano_and_trie():
     random = np.random.default_rng(3)
     for n, top in ((1, 3), (5, 100), (2000, 2**64 - 1), (2000, 2500), (700, 2**33)):
