@@ -470,6 +470,12 @@ SELECT 'third-' || (event_id % 3) AS member, event_id, longitude, latitude FROM
 SQL["landed_weather"] = f"SELECT * FROM {SOURCE_WEATHER} s"
 SQL["dynamic_overwrite_roundtrip"] = f"""
 SELECT fire_id, adm, CASE WHEN year = 1997 THEN 1 ELSE 0 END AS load, year, month FROM {_DATED}"""
+SQL["merged_half_months"] = f"""
+SELECT fire_id, adm, CAST(DAY(datetime) AS INT) AS day, CASE WHEN DAY(datetime) >= 16 AND year > 1995 THEN 1 ELSE 0 END AS load, year, month
+FROM {_DATED} WHERE DAY(datetime) < 16 OR year > 1995 OR fire_id % 3 = 0"""
+SQL["named_tables"] = f"""
+SELECT s.adm4_name, element, COUNT(*) AS readings, CAST(SUM(value) AS BIGINT) AS total
+FROM {WEATHER} w JOIN {STATIONS} s ON station = id GROUP BY s.adm4_name, element"""
 SQL["pruned_partitions"] = f"""
 SELECT station, value, CAST(MONTH(datetime) AS INT) AS month, adm FROM {WEATHER} w
 WHERE element = 'PRCP' AND YEAR(datetime) = 1997 AND distance_from_station = 0"""

@@ -671,6 +671,37 @@ def dynamic_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, folder, ["fire_id", "adm", "load", "year", "month"])
 
 
+@query
+def merged_half_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fires by year and month, then the second half of each month, some of it known already, merged into them."""
+    folder = shared_folder(spark, "merge")
+    rows = fires(spark, sf_dir).select(
+        "fire_id", "adm", F.dayofmonth("datetime").alias("day"), F.lit(0).alias("load"),
+        F.year("datetime").alias("year"), F.month("datetime").alias("month"),
+    )
+    first = rows.where((F.col("day") < 16) | (F.col("fire_id") % 3 == 0))
+    sinks.replace_partitions(first, folder, ["year", "month"])
+    late = rows.where((F.col("day") >= 16) & (F.col("year") > 1995)).withColumn("load", F.lit(1))
+    sinks.merge_partitions(late.unionByName(late.where("fire_id % 5 = 0")), folder, ["year", "month"], ["fire_id"])
+    return readers.read_table(spark, folder, ["fire_id", "adm", "day", "load", "year", "month"])
+
+
+@query
+def named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables registered by name, from a frame and from a path with chosen columns, for one SQL text."""
+    folder = shared_folder(spark, "named")
+    sinks.replace_table(stations(spark, sf_dir), folder)
+    readers.register_tables(
+        spark, [("el_station", folder, ["id", "adm4_name"]), ("el_reading", weather(spark, sf_dir), ["station", "element", "value"])]
+    )
+    return spark.sql(
+        """
+        SELECT adm4_name, element, COUNT(*) AS readings, SUM(value) AS total
+        FROM el_reading JOIN el_station ON station = id GROUP BY adm4_name, element
+        """
+    )
+
+
 @query
 def static_overwrite_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shapes by level with a cap on rows per file, replaced as a whole, one level read back."""

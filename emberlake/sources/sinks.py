@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberlake.session import path_exists, stored
+
 
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition together before writing it.
@@ -31,6 +35,31 @@ def replace_partitions(
     ).parquet(path)
 
 
+def merge_partitions(df: DataFrame, path: str, columns: Sequence[str], keys: Sequence[str]) -> None:
+    """Bring rows into a table kept by partition, such as half a month of detections.
+
+    Only the partitions met in ``df`` are read and written again. Their rows stay, but for those that have the key of a
+    new row, which takes their place; of new rows with one key one is taken. Keys may be null and compare as equal then.
+    The merged partitions are written aside before they replace what they were read from. A table that isn't there yet is
+    made.
+    """
+    spark = df.sparkSession
+    new = df.dropDuplicates([*keys, *columns])
+    if not path_exists(spark, path):
+        replace_partitions(new, path, columns)
+        return
+    new = stored(new, "merge-new")
+    # one row per partition met, as many as the write makes folders
+    met = [row.asDict() for row in new.select(*columns).distinct().collect()]
+    if not met:
+        return
+    touched = reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in one.items()]) for one in met])
+    old = spark.read.schema(df.schema).parquet(path).where(touched)
+    same = reduce(and_, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in [*keys, *columns]])
+    kept = old.alias("o").join(new.select(*keys, *columns).alias("n"), same, "left_anti")
+    replace_partitions(stored(kept.select(*df.columns).unionByName(new), "merge"), path, columns)
+
+
 def replace_table(
     df: DataFrame,
     path: str,

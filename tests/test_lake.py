@@ -189,6 +189,36 @@ def test_the_ledger_rebuilds_what_changed(spark, lake):
     ]
 
 
+def test_an_extra_load_keeps_the_rest_of_its_months(spark, lake):
+    daily.run_day(spark, lake, "2021-02-05")
+    columns = ["geometry", "adm", "year", "month", "confidence"]
+    before = rows(spark.read.parquet(lake.table("fires")), *columns)
+    land(lake, "extra", [HEADER, "0.5,0.5,330.1,0.4,0.4,2021-02-03,04:12,again,290.5,2.1", "0.5,0.5,1,1,1,2021-02-20,0101,new,1,1",
+                         "0.5,0.5,1,1,1,2021-02-20,0101,new,1,1", "0.5,0.5,1,1,1,2021-02-21,412,untimed,1,1", "0.5,0.5,1,1,1,2019-07-20,0101,old,1,1"])
+    for _ in range(2):
+        daily.load_extra(spark, lake, "fires", lake.landed("extra"))
+        after = rows(spark.read.parquet(lake.table("fires")), *columns)
+        replaced = ("POINT (0.5 0.5)", "-3", 2021, 2, "nominal")
+        added = [("POINT (0.5 0.5)", "-3", 2021, 2, "again"), ("POINT (0.5 0.5)", "-3", 2021, 2, "new"), ("POINT (0.5 0.5)", "-3", 2019, 7, "old")]
+        assert after == sorted([*(r for r in before if r != replaced), *added], key=repr)
+
+
+def test_merge_reads_and_writes_only_what_it_touches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = spark.range(40).selectExpr("id", "IF(id % 7 = 0, NULL, 'old') AS v", "IF(id % 10 = 9, NULL, CAST(id % 10 AS INT)) AS part")
+    sinks.merge_partitions(table, path, ["part"], ["id"])
+    names = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    before = names()
+    new = spark.createDataFrame([(3, "new", 3), (103, "new", 3), (19, "new", None), (None, "new", None), (None, "new", None)], "id long, v string, part int")
+    sinks.merge_partitions(new, path, ["part"], ["id"])
+    touched = {f for f in before if f not in names()}
+    assert touched and all("part=3/" in f or "HIVE_DEFAULT" in f for f in touched)
+    want = {(r.id, r.v, r.part) for r in table.collect()} - {(3, "old", 3), (19, "old", None)}
+    got = [(r.id, r.v, r.part) for r in spark.read.schema("id long, v string, part int").parquet(path).collect()]
+    assert len(got) == len(set(got)) and set(got) == want | {(3, "new", 3), (103, "new", 3), (19, "new", None), (None, "new", None)}
+    sinks.merge_partitions(new.limit(0), path, ["part"], ["id"])
+
+
 def test_stale_or_missing_data_fails_the_checks(spark, lake):
     with pytest.raises(quality.QualityError, match="fires are recent"):
         daily.run_day(spark, lake, "2021-12-05")
