@@ -310,6 +310,24 @@ def test_few_pairs_are_measured_exactly(spark):
     assert "WindowGroupLimit" in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_counts_by_cell_bound_what_is_paired(spark):
+    """Dense places: an area is paired with those around it, not with all within reach, and k points are that near."""
+    random_ = random.Random(9)
+    polygons = [[star(random_, 5, 0.02)] for _ in range(10)]
+    centre = polygons[0][0][0]
+    points = [(centre[0] + random_.uniform(-0.3, 0.3), centre[1] + random_.uniform(-0.3, 0.3)) for _ in range(3000)]
+    spots, areas = frames(spark, polygons, points)
+    metres = nearest.metre_edges(areas)
+    places = nearest.places_of(spots)
+    corners = metres.select("shape_id", F.col("edges")[0]["x1"].alias("ax"), F.col("edges")[0]["y1"].alias("ay"))
+    reach = nearest.counted_reach(places, corners, 3, 50_000.0)
+    apart = geo.distance(F.col("edges"), F.col("mx"), F.col("my"))
+    met = reach.join(metres, "shape_id").join(places).where(apart <= F.col("within")).groupBy("shape_id", "within").count().collect()
+    assert met and all(r["count"] >= 3 for r in met) and min(r.within for r in met) < 6_000
+    near = nearest.near_pairs(places, metres, 3, 50_000.0)
+    assert near.where("near > limit + 1e-5").count() == 0 and near.where(F.col("limit") < 6_000).count() > 0
+
+
 def test_bounds_hold(spark):
     random_ = random.Random(6)
     polygons = [[star(random_, random_.choice([3, 9]), random_.choice([0.5, 6]))] for _ in range(30)]
