@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from emberlake.operators import hierarchy, skew
 from emberlake.plans import analytics, jobs, quality
+from emberlake.session import tune
 from emberlake.sources import archive, readers, sinks
 from emberlake.streaming import daily
 
@@ -448,3 +449,36 @@ def test_every_hot_key_and_null_keys_are_cut(spark, monkeypatch):
         monkeypatch.setattr(skew, "LIST_KEYS", listed)
         for how in ("inner", "left"):
             assert flat(skew.salted_join(many, few, ["k"], how, hot_rows=10)) == flat(many.join(few, "k", how))
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 0}])
+def test_weather_is_written_where_it_is_joined(spark, tmp_path, options):
+    """Rows made of one reading by its station's links are not shuffled or sorted for the write."""
+    readings = spark.range(400).selectExpr(
+        "concat('s', id % 7) AS station", "IF(id % 3 = 0, 'TAVG', 'PRCP') AS element", "int(id) AS value",
+        "timestamp_ntz'2001-01-01 00:00:00' AS datetime", "2001 AS year", "int(id % 12) + 1 AS month",
+    )
+    links = spark.range(60).selectExpr(
+        "concat('s', id % 6) AS id", "float(id) AS distance", "concat('c', id) AS adm", "'n' AS adm_name", "'r' AS adm2", "'r' AS adm2_name"
+    )
+    tune(spark)
+    table = jobs.weather_table(readings, links, deal=jobs.WEATHER_PARTITIONS, **options)
+    path = str(tmp_path / "weather")
+    sinks.replace_partitions(table, path, jobs.WEATHER_PARTITIONS, dealt=True)
+    want = readings.join(links.withColumnRenamed("id", "station"), "station")
+    got = spark.read.parquet(path)
+    names = ["station", "element", "value", "adm"]
+    assert rows(got, *names) == rows(want, *names) and len(rows(got, "adm")) > 3000
+    # the last exchange of the rows lies below the join
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < (plan.find("Rebalance") if not options else len(plan))
+
+
+def test_rows_are_dealt_in_slices_beside_a_larger_dimension(spark):
+    from emberlake.operators import skew
+
+    fact = spark.range(1000).selectExpr("id AS k", "id % 2 AS month")
+    plain = skew.dealt(fact, ["month"], ["k"], 1)
+    cut = skew.dealt(fact, ["month"], ["k"], 40)
+    places = cut.groupBy("month", F.spark_partition_id().alias("p")).count().groupBy("month").count().collect()
+    assert rows(plain, "k", "month") == rows(cut, "k", "month") and min(r["count"] for r in places) > 4
