@@ -382,6 +382,26 @@ def test_next_rows_across_ranges(spark):
     assert got == dict(zip(want, [*want[1:], 0], strict=True))
 
 
+def test_first_row_of_a_range_ends_the_one_before(spark):
+    ids = spark.range(100).select(F.col("id").alias("key"), "id")
+    got = fingerprint.following(ids, ["id"], range_rows=20).collect()
+    parts = {r.key: r.part for r in got}
+    firsts = {r.key: r.before for r in got if r.before is not None}
+    assert len(firsts) == len(set(parts.values())) > 2
+    assert all(before == parts[(key - 1) % 100] for key, before in firsts.items())
+
+
+def test_fingerprints_across_ranges(spark, monkeypatch):
+    """Rows of many ranges: the likeness to the next row is that of its own fingerprint, and texts are cut once."""
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 20 + int(id % 3)), i -> concat('w', i * (id % 5)))) AS text")
+    monkeypatch.setattr(fingerprint.following, "__defaults__", (7,))
+    found = fingerprint.edited_fingerprints(docs).orderBy("doc_id").collect()
+    cut = lambda text: [text[i : i + 8] for i in range(0, len(text), 8)]
+    for row, after in zip(found, [*found[1:], found[0]], strict=True):
+        same = [a == b for a, b in zip(cut(row.fingerprint), cut(after.fingerprint), strict=True)]
+        assert row.near_next == sum(same) / len(same)
+
+
 def test_toxicity(spark, odd, empty):
     rows = [(i, f"{'vile ' * (i % 2)}plain words number n{i} end", None, None) for i in range(200)]
     docs = table(spark, rows)
