@@ -215,6 +215,49 @@ def test_distance_reach_is_inclusive(spark):
     assert got == {0: one, 2: 0.0}
 
 
+def test_distances_of_batches_equal_the_columns(spark):
+    """Points on corners and edges, inside holes, outside; an edge of no length."""
+    polygons = [HOLED, CONCAVE, TWO_PARTS, [[(0, 0), (0, 0), (4, 0), (4, 4)]]]
+    points = [(i / 2, j / 2) for i in range(-2, 21) for j in range(-2, 21)]
+    spots, areas = frames(spark, polygons, points)
+    numbers = F.flatten(F.transform("edges", lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
+    x, y = F.col("x"), F.col("y")
+    got = F.arrow_udf(geo.distances, "double")(numbers, x, y).alias("got")
+    rows = spots.repartition(3).crossJoin(areas).select(got, geo.distance(F.col("edges"), x, y).alias("want")).collect()
+    assert len(rows) == len(points) * 4 and all(r.got == r.want for r in rows)
+    assert 0 < sum(r.want == 0 for r in rows) < len(rows)
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 0, "hot_rows": 50}, {"edges": 0}, {"edges": 9, "limit": 0}])
+def test_distance_join_of_short_and_long_outlines(spark, options):
+    """Outlines met by box, by tile and some by each, with rows that share an id; each pair once."""
+    random_ = random.Random(3)
+    polygons = [[star(random_, random_.choice([3, 9, 90]), random_.choice([0.02, 0.5, 9]))] for _ in range(40)]
+    points = [(random_.uniform(-22, 22), random_.uniform(-22, 22)) for _ in range(500)]
+    points += [polygons[0][0][0]] * 200
+    spots, areas = frames(spark, polygons, points)
+    areas = areas.withColumn("shape_id", F.expr("if(shape_id < 4, null, if(shape_id < 8, '4', shape_id))"))
+    joined = spatial.distance_join(spots, areas, **options)
+    merged = areas.groupBy("shape_id").agg(F.flatten(F.collect_list("edges")).alias("edges"))
+    x, y = geo.mercator_x(F.col("x")), geo.mercator_y(F.col("y"))
+    every = spots.crossJoin(nearest.metre_edges(merged)).select("pid", "shape_id", geo.distance(F.col("edges"), x, y).alias("d"))
+    want = {(r.pid, r.shape_id): r.d for r in every.where("d <= 50000").collect()}
+    rows = joined.collect()
+    got = {(r.pid, r.shape_id): r.distance for r in rows}
+    assert len(rows) == len(got) and got.keys() == want.keys() and len(want) > 100
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-6) for k in want)
+
+
+def test_short_outlines_are_not_copied_to_the_cells_within_reach(spark):
+    """Boxes far smaller than a cell go to one to four cells each, not to the twenty within reach of them."""
+    polygons = [[[(i, j), (i + 0.01, j), (i + 0.01, j + 0.01)]] for i in range(10) for j in range(10)]
+    spots, areas = frames(spark, polygons, [(0, 0)])
+    joined = spatial.distance_join(spots, areas, limit=0)
+    joined.collect()
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert " AS near" not in plan and "ArrowEvalPython" in plan
+
+
 @pytest.mark.parametrize("hot_rows", [10, 2_000_000])
 def test_nearest_keeps_ties(spark, hot_rows):
     rows = [("a", 0.0, i) for i in range(500)] + [("a", 1.0, 900)]
