@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from emberlake.functions import geo
 from emberlake.operators import nearest, spatial
 from emberlake.operators.tiles import area_tiles, plan_tiles
+from emberlake.plans import jobs
 
 HOLED = [[(0, 0), (9, 0), (9, 9), (0, 9)], [(2, 2), (6, 3), (5, 7), (2, 5)]]
 CONCAVE = [[(0, 0), (4, 0), (4, 4), (2, 2), (0, 4)]]
@@ -258,6 +259,36 @@ def test_short_outlines_are_not_copied_to_the_cells_within_reach(spark):
     assert " AS near" not in plan and "ArrowEvalPython" in plan
 
 
+def test_names_reach_the_tiles_before_the_points(spark):
+    """With names too large for a broadcast the rows found are not joined again, and with small ones not shuffled."""
+    polygons = [HOLED, CONCAVE, TWO_PARTS, [[(0, 0), (9, 0), (9, 9), (0, 9)]]]
+    spots, areas = frames(spark, polygons, [(i / 2, j / 2) for i in range(20) for j in range(20)])
+    named = spark.createDataFrame([("0", "a"), ("1", "b"), ("1", "c"), ("3", "d"), (None, "e")], "shape_id string, name string")
+    located = spatial.contains_join(spots, areas)
+    want = sorted((r.pid, r.shape_id, r.name) for r in located.join(named, "shape_id").collect())
+    columns = ["pid", "shape_id", "name"]
+    for limit in (0, spatial.BROADCAST_BYTES):
+        joined = spatial.contains_join(spots, areas, limit=limit, named=named)
+        assert sorted(map(tuple, joined.select(columns).collect())) == want
+        assert joined.columns.count("shape_id") == 1
+    top = lambda df: next(line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line)
+    assert "_cx" in top(spatial.contains_join(spots, areas, limit=0, named=named))
+
+
+def test_fire_table_has_its_ancestors_from_the_tiles(spark):
+    """The join that makes the rows is the last one where the table of areas is large."""
+    shapes = spark.createDataFrame([("1", wkt(HOLED), 8)], "id string, geometry string, adm int")
+    relations = spark.createDataFrame([("1", "one", "n1", "N")], "id string, name string, adm4 string, adm4_name string")
+    numbers = ("bright_ti4", "bright_ti5", "frp", "scan", "track")
+    fires = spark.createDataFrame([(1.0, 1.0), (4.0, 4.0)], "x double, y double").selectExpr(
+        "x", "y", *[f"1D AS {n}" for n in numbers], "'h' AS confidence", "now() AS datetime", "2020 AS year", "1 AS month"
+    )
+    table = jobs.fires_table(fires, shapes, relations, limit=0)
+    assert [(r.geometry, r.adm, r.adm4_name) for r in table.collect()] == [("POINT (1.0 1.0)", "1", "N")]
+    joins = [line for line in table._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert "_cx" in joins[0]
+
+
 @pytest.mark.parametrize("hot_rows", [10, 2_000_000])
 def test_nearest_keeps_ties(spark, hot_rows):
     rows = [("a", 0.0, i) for i in range(500)] + [("a", 1.0, 900)]
