@@ -1,12 +1,18 @@
 """Spatial joins against exact arithmetic and against every point with every area."""
 
 import math
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
+import pyspark
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from emberlake.functions import geo
@@ -223,12 +229,23 @@ def test_distances_of_batches_equal_the_columns(spark):
     spots, areas = frames(spark, polygons, points)
     numbers = F.flatten(F.transform("edges", lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
     x, y = F.col("x"), F.col("y")
-    got = F.arrow_udf(geo.distances, "double")(numbers, x, y).alias("got")
+    got = F.arrow_udf(geo.batch_distances(), "double")(numbers, x, y).alias("got")
     rows = spots.repartition(3).crossJoin(areas).select(got, geo.distance(F.col("edges"), x, y).alias("want")).collect()
     assert len(rows) == len(points) * 4 and all(r.got == r.want for r in rows)
     assert 0 < sum(r.want == 0 for r in rows) < len(rows)
 
 
+def test_batch_distances_need_no_package_on_the_workers(tmp_path):
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(geo.batch_distances()))
+    code = (
+        "import sys, pickle, pyarrow as pa; sys.path[:] = [p for p in sys.path if p]; f = pickle.load(open('f', 'rb'));"
+        "print(f(pa.array([[0.0, 0.0, 0.0, 2.0]]), pa.array([-3.0]), pa.array([1.0])).to_pylist(), 'emberlake' in sys.modules)"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONPATH": str(Path(pyspark.__file__).parents[1])}
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert ran.stdout.strip() == "[3.0] False", ran.stderr
+
+
 @pytest.mark.parametrize("options", [{}, {"limit": 0, "hot_rows": 50}, {"edges": 0}, {"edges": 9, "limit": 0}])
 def test_distance_join_of_short_and_long_outlines(spark, options):
     """Outlines met by box, by tile and some by each, with rows that share an id; each pair once."""
