@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from emberlake.operators import hierarchy, skew
+from emberlake.operators import hierarchy, skew, spatial
 from emberlake.plans import analytics, jobs, quality
 from emberlake.session import tune
 from emberlake.sources import archive, readers, sinks
@@ -190,6 +190,43 @@ def test_the_ledger_rebuilds_what_changed(spark, lake):
     ]
 
 
+def test_a_rebuild_makes_the_tiles_of_areas_once(spark, lake, monkeypatch):
+    """However many years it rebuilds, and some of them again for rows that lie in another year's folder."""
+    daily.rebuild_areas(spark, lake)
+    land(lake, "fires/2022", [HEADER, "0.5,0.5,1,1,1,2022-02-09,0101,high,1,1", "0.5,0.5,1,1,1,2021-07-09,0101,late,1,1"])
+    made = []
+    monkeypatch.setattr(spatial, "area_tiles", lambda *a, make=spatial.area_tiles: made.append(a) or make(*a))
+    written = daily.reprocess_fires(spark, lake, [2021, 2022])
+    assert len(made) == 1
+    assert (written[2021].rows, written[2022].strays) == (6, 1)
+    fires = spark.read.parquet(lake.table("fires")).where("confidence IN ('high', 'late')")
+    assert rows(fires, "year", "month", "adm", "confidence") == [(2021, 7, "-3", "late"), (2022, 2, "-3", "high")]
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 0}])
+def test_rows_are_watched_before_a_join_makes_many_of_each(spark, options):
+    fact = spark.sql("SELECT * FROM VALUES ('a', 1, timestamp'2020-01-05', 2020), ('a', 2, timestamp'2021-01-05', 2021), ('b', 3, null, null), ('z', 4, timestamp'2030-01-05', 2030), (null, 5, null, 2031) AS t(k, i, datetime, year)")
+    links = spark.sql("SELECT IF(id < 50, 'a', 'b') AS k, id AS v FROM range(53)")
+    for dimension, want in ((links, (103, datetime.datetime(2021, 1, 5), (2020, 2021), 53)), (links.where("v < 0"), (0, None, (), 0))):
+        watch = quality.Watch(~F.col("year").eqNullSafe(F.lit(2020)))
+        joined = skew.dimension_join(fact, dimension, ["k"], deal=["year"], watch=watch.over, **options)
+        assert rows(joined, "k", "i", "v") == rows(fact.join(dimension, "k"), "k", "i", "v")
+        watch = quality.Watch(~F.col("year").eqNullSafe(F.lit(2020)))
+        joined = skew.dimension_join(fact, dimension, ["k"], deal=["year"], watch=watch.over, **options)
+        joined.write.format("noop").mode("overwrite").save()
+        assert tuple(watch.result()) == want
+    plan = skew.dimension_join(fact, links, ["k"], watch=quality.Watch().over)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("CollectMetrics")
+
+
+def test_weather_of_a_lake_without_stations(spark, lake):
+    daily.rebuild_areas(spark, lake)
+    land(lake, "stations", [station("ST000000001", "60.0000", "60.0000", "1.0", "NOWHERE")])
+    daily.rebuild_stations(spark, lake)
+    seen = daily.reprocess_weather(spark, lake, [2021])[2021]
+    assert (seen.rows, seen.last, seen.years, seen.strays) == (0, None, (), 0)
+
+
 def test_an_extra_load_keeps_the_rest_of_its_months(spark, lake):
     daily.run_day(spark, lake, "2021-02-05")
     columns = ["geometry", "adm", "year", "month", "confidence"]
