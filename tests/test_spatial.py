@@ -419,6 +419,20 @@ def test_counts_by_cell_bound_what_is_paired(spark):
     assert near.where("near > limit + 1e-5").count() == 0 and near.where(F.col("limit") < 6_000).count() > 0
 
 
+def test_what_grows_after_it_was_stored_is_not_broadcast(spark, tmp_path):
+    """Counts of places by cells of all sizes, and points, whatever their files' sizes say."""
+    path = str(tmp_path / "places")
+    spark.range(500).selectExpr("id * 10D AS mx", "id % 7 * 10D AS my", "1L AS copies").write.parquet(path)
+    corners = spark.range(20).selectExpr("CAST(id AS STRING) AS shape_id", "id * 10D AS ax", "id * 3D AS ay")
+    within = nearest.counted_reach(spark.read.parquet(path), corners, 3, 50_000.0)
+    assert within.count() == 20
+    assert "BroadcastExchange" not in within._jdf.queryExecution().executedPlan().toString()
+    spots, areas = frames(spark, [HOLED], [(i / 5, 11.0) for i in range(30)])
+    linked = nearest.nearest_points(spots, areas, reach=5e5)
+    top = next(line for line in linked._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line)
+    assert "SortMergeJoin" in top
+
+
 def test_bounds_hold(spark):
     random_ = random.Random(6)
     polygons = [[star(random_, random_.choice([3, 9]), random_.choice([0.5, 6]))] for _ in range(30)]
