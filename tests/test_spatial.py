@@ -419,6 +419,22 @@ def test_counts_by_cell_bound_what_is_paired(spark):
     assert near.where("near > limit + 1e-5").count() == 0 and near.where(F.col("limit") < 6_000).count() > 0
 
 
+def test_stations_have_their_names_from_the_places(spark, monkeypatch):
+    """Ancestors are joined to places of areas, which are fewer than the stations at them; texts of areas are read once."""
+    shapes = spark.createDataFrame([("1", wkt(HOLED)), ("2", wkt(CONCAVE))], "id string, geometry string")
+    relations = spark.createDataFrame([("1", "one", "n1", "N"), ("1", "uno", "n1", "N")], "id string, name string, adm4 string, adm4_name string")
+    points = spark.createDataFrame([(i, 4.0 + i % 2, 4.0) for i in range(6)], "id int, x double, y double").selectExpr("CAST(id AS STRING) AS id", "'n' AS name", "'1' AS elevation", "x", "y")
+    read = []
+    monkeypatch.setattr(nearest, "metre_edges", lambda areas, of=nearest.metre_edges: read.append(areas) or of(areas))
+    table = jobs.stations_table(points, shapes, relations, reach=1e6)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "(x#" in top and "shape_id" not in top and len(read) == 1 and "regexp" not in plan
+    want = nearest.nearest_points(points, spatial.area_edges(shapes), reach=1e6).where("shape_id = '1'")
+    names = [(r.id, name, round(r.distance, 1)) for r in want.collect() for name in ("one", "uno")]
+    assert names and sorted((r.id, r.adm_name, round(r.distance, 1)) for r in table.collect()) == sorted(names)
+
+
 def test_what_grows_after_it_was_stored_is_not_broadcast(spark, tmp_path):
     """Counts of places by cells of all sizes, and points, whatever their files' sizes say."""
     path = str(tmp_path / "places")
